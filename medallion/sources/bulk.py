@@ -1,0 +1,38 @@
+"""Bulk load of a folder into a table: files loaded before are skipped."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+
+from medallion.sources.csv_folder import csv_batches
+from medallion.sources.files import has_files
+from medallion.sources.json_lines import json_stream
+
+
+def copy_into(
+    spark: SparkSession,
+    target,
+    folder: str,
+    fmt: str,
+    schema: T.StructType,
+    checkpoint: str,
+) -> int:
+    """Load the files of ``folder`` not loaded yet; returns the number of micro-batches.
+
+    ``target`` is a table name for JSON, a :class:`ChangeLog` for CSV. A missing or
+    empty folder loads nothing.
+    """
+    if not has_files(spark, folder):
+        return 0
+    if fmt == "json":
+        writer = json_stream(spark, folder, schema).writeStream
+        writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        query = writer.toTable(target)
+    elif fmt == "csv":
+        writer = csv_batches(spark, folder, schema, target.batch_appender(checkpoint))
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    else:
+        raise ValueError(f"no bulk load for format {fmt!r}")
+    query.awaitTermination()
+    return sum(1 for progress in query.recentProgress if progress["numInputRows"] > 0)
