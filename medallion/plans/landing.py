@@ -92,6 +92,19 @@ def write_landing(spark: SparkSession, sf_dir: str) -> Landing:
     return Landing(users, spend, user_files, spend_files)
 
 
+_users: dict[tuple[str, str], str] = {}
+
+
+def users_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users as a written table, for queries that start after the ingest."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _users:
+        path = f"{scratch_dir(spark, 'users')}/users"
+        users_source(spark, sf_dir).write.parquet(path)
+        _users[key] = path
+    return spark.read.parquet(_users[key])
+
+
 _written: dict[tuple[str, str], Landing] = {}
 
 
