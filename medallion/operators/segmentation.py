@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.cleaning import label_for
+from medallion.session import scratch_dir
 
 # The model's inputs, its segment names from the lowest spending up,
 # the scaled range, and the tag its runs carry.
@@ -90,6 +93,14 @@ def weighted_points(rows: DataFrame, columns: list[str]) -> DataFrame:
     return known.groupBy(*columns).agg(F.count("*").cast("double").alias("weight"))
 
 
+def written_points(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The weighted points as a table: fitting passes over them many times, and an
+    executor lost on the way must not mean computing ``rows`` again."""
+    path = scratch_dir(rows.sparkSession, "points")
+    weighted_points(rows, columns).write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _stages(columns: list[str], k: int, seed: int) -> list:
     low, high = SCALED_RANGE
     return [
@@ -100,27 +111,65 @@ def _stages(columns: list[str], k: int, seed: int) -> list:
 
 
 def elbow(
-    rows: DataFrame, columns: list[str] = FEATURES, ks=range(2, 10), seed: int = 0, tag: str = RUN_TAG
+    rows: DataFrame,
+    columns: list[str] = FEATURES,
+    ks=range(2, 10),
+    seed: int = 0,
+    tag: str = RUN_TAG,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Fit k-means for every k; a row per k with its inertia.
+    """Fit k-means for every k, ``parallelism`` at a time; a row per k with its inertia.
 
     Scaling is fitted once. The scaled points are persisted over the fits, spilling
-    to disk; a lost block is computed again from the table.
+    to disk; a lost block is read again from the written points.
     """
+    spark = rows.sparkSession
     assembler, scaler, _ = _stages(columns, 2, seed)
-    points = assembler.transform(weighted_points(rows, columns))
+    points = assembler.transform(written_points(rows, columns))
     points = scaler.fit(points).transform(points).select("features", "weight").persist()
-    results = []
+
+    def fit(k: int) -> tuple:
+        started = time.monotonic()
+        model = _stages(columns, k, seed)[2].fit(points)
+        seconds = time.monotonic() - started
+        cost = float(model.summary.trainingCost)
+        return (k, cost, seconds, "FINISHED", tag, datetime.now(timezone.utc))
+
     try:
-        for k in ks:
-            started = time.monotonic()
-            model = _stages(columns, k, seed)[2].fit(points)
-            seconds = time.monotonic() - started
-            cost = float(model.summary.trainingCost)
-            results.append((k, cost, seconds, "FINISHED", tag, datetime.now(timezone.utc)))
+        with ThreadPoolExecutor(parallelism) as pool:
+            results = list(pool.map(inheritable_thread_target(spark)(fit), ks))
     finally:
         points.unpersist()
-    return rows.sparkSession.createDataFrame(results, SWEEP)
+    return spark.createDataFrame(results, SWEEP)
+
+
+def register_segments(
+    spark: SparkSession,
+    name: str,
+    limits: dict[str, tuple[float, float]],
+    centres: list[list[float]],
+    labels: dict[str, str],
+) -> None:
+    """A SQL function of the raw columns, inlined by the optimizer: no Python at run time.
+
+    ``limits`` holds (min, max) of the input columns in order, ``centres`` are scaled.
+    """
+    low, high = SCALED_RANGE
+    entries = []
+    for i, centre in enumerate(centres):
+        terms = []
+        for (column, (least, most)), place in zip(limits.items(), centre):
+            if least == most:
+                continue
+            unit = f"({column} - {least!r}D) / {most - least!r}D * {high - low!r}D + {low!r}D"
+            terms.append(f"power({unit} - {place!r}D, 2)")
+        label = labels[f"cluster_{i}"].replace("'", "\\'")
+        distance = " + ".join(terms) or "0D"
+        entries.append(f"named_struct('d', {distance}, 'i', {i}, 'label', '{label}')")
+    known = " AND ".join(f"{column} IS NOT NULL" for column in limits)
+    body = f"CASE WHEN {known} THEN array_min(array({', '.join(entries)})).label END"
+    inputs = ", ".join(f"{column} DOUBLE" for column in limits)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({inputs}) RETURNS STRING RETURN {body}")
 
 
 @dataclass
@@ -192,27 +241,8 @@ class SegmentModel:
     # ---- SQL -----------------------------------------------------------------
 
     def register_sql(self, spark: SparkSession, name: str = SQL_NAME) -> None:
-        """A SQL function of the raw columns, inlined by the optimizer: no Python at run time."""
-        found, centres = self._parts()
-        low, high = SCALED_RANGE
-        entries = []
-        for i, centre in enumerate(centres):
-            terms = []
-            for column, place in zip(self.columns, centre):
-                least, most = found[column]
-                if least == most:
-                    continue
-                unit = f"({column} - {least!r}D) / {most - least!r}D * {high - low!r}D + {low!r}D"
-                terms.append(f"power({unit} - {place!r}D, 2)")
-            label = self.labels[f"cluster_{i}"].replace("'", "\\'")
-            distance = " + ".join(terms) or "0D"
-            entries.append(f"named_struct('d', {distance}, 'i', {i}, 'label', '{label}')")
-        known = " AND ".join(f"{c} IS NOT NULL" for c in self.columns)
-        body = f"CASE WHEN {known} THEN array_min(array({', '.join(entries)})).label END"
-        inputs = ", ".join(f"{c} DOUBLE" for c in self.columns)
-        spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({inputs}) RETURNS STRING RETURN {body}"
-        )
+        """Make the model callable in SQL, see :func:`register_segments`."""
+        register_segments(spark, name, *self._parts(), self.labels)
 
     def register_vectorised(self, spark: SparkSession, name: str = SQL_NAME) -> None:
         """The same function over Arrow batches, for engines of models Spark cannot express."""
@@ -257,7 +287,7 @@ def fit_segments(
     """
     if len(names) != k:
         raise ValueError(f"{k} clusters need {k} names, got {len(names)}")
-    pipeline = Pipeline(stages=_stages(columns, k, seed)).fit(weighted_points(rows, columns))
+    pipeline = Pipeline(stages=_stages(columns, k, seed)).fit(written_points(rows, columns))
     centres = pipeline.stages[2].clusterCenters()
     position = columns.index(rank_by)
     ranked = sorted(range(len(centres)), key=lambda i: centres[i][position])

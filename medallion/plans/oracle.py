@@ -344,6 +344,17 @@ fresh AS (
             CASE cluster WHEN 0 THEN 'small_spenders' WHEN 1 THEN 'medium_spenders'
                          WHEN 2 THEN 'large_spenders' ELSE 'critical_spenders' END AS segment,
             round(distance, 6) AS distance FROM near""",
+        "segment_stream": f"""{_NEAR} SELECT c.*, {NO_RESCUE}, n.segment FROM checked c JOIN (
+            SELECT DISTINCT id, age, annual_income, spending_core, segment FROM (
+              SELECT c.id, c.age, c.annual_income, c.spending_core,
+                CASE cluster WHEN 0 THEN 'small_spenders' WHEN 1 THEN 'medium_spenders'
+                             WHEN 2 THEN 'large_spenders' ELSE 'critical_spenders' END AS segment
+              FROM checked c JOIN near n ON c.id = n.id
+               AND abs(n.age - (c.age - (SELECT a0 FROM lim)) / (SELECT a1 - a0 FROM lim) * 10) < 1e-9
+               AND abs(n.spending_core - (c.spending_core - (SELECT s0 FROM lim))
+                       / (SELECT s1 - s0 FROM lim) * 10) < 1e-9)) n
+            ON c.id = n.id AND c.age = n.age AND c.annual_income = n.annual_income
+            AND c.spending_core = n.spending_core""",
         "inertia": f"{_NEAR} SELECT round(sum(distance), 3) AS inertia FROM near",
         "cluster_profile": f"""{_NEAR} SELECT cluster, round(avg(age), 6) AS age,
             round(avg(annual_income), 6) AS annual_income, round(avg(spending_core), 6) AS spending_core

@@ -217,7 +217,7 @@ def gold_notebook(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_declarative(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace.create(spark, "declarative")
     gold, _ = retail.declarative_pipeline(space, landing(spark, sf_dir))
-    return _zoneless(gold.as_of())
+    return _zoneless(spark.table(gold))
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,6 +463,19 @@ def segment_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def segment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold rows scored as they arrive, by a SQL function with fixed centres."""
+    space = Workspace.create(spark, "segments")
+    gold, _ = retail.declarative_pipeline(space, landing(spark, sf_dir))
+    limits = segmentation.bounds(spark.table(gold), segmentation.FEATURES)
+    names = {f"cluster_{i}": name for i, name in enumerate(segmentation.SEGMENTS)}
+    function = "fixed_centre_segment"
+    segmentation.register_segments(spark, function, limits, CENTRES, names)
+    name = space.name("user_segmentation_dlt")
+    run_flow(spark, retail.segment_flow(name, gold, function), space.root)
+    return _zoneless(spark.table(name))
+
+
 def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = _gold_features(spark, sf_dir)
     return segmentation.labelled_points(segmentation.fit_segments(features), features)
@@ -535,6 +548,7 @@ def queries() -> dict[str, Query]:
         elbow_sweep,
         latest_sweep_run,
         segment_kmeans,
+        segment_stream,
         labelled_points,
         silhouette,
         classify_search,

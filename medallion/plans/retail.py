@@ -7,6 +7,7 @@ key types, capitalised names, rescued data, join type and what the rules count.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,11 @@ from medallion.plans.landing import USER_COLUMNS, Landing
 from medallion.session import scratch_dir
 from medallion.sources.bulk import copy_into
 from medallion.sources.csv_folder import csv_batches
+from medallion.sources.files import has_files
 from medallion.sources.json_lines import RESCUED, json_stream
 from medallion.sources.schema import SchemaLog
 from medallion.streaming.control import finish
-from medallion.streaming.flows import Flow, create_database, run_flow
+from medallion.streaming.flows import Flow, last_commit, new_rows, run_flow
 from medallion.streaming.rules import Rule, rule_counts
 
 # Type hints, rules and comments of the pipeline.
@@ -37,13 +39,10 @@ GOLD_RULES = [
     Rule("valid_income", "annual_income IS NOT NULL", "drop"),
     Rule("valid_score", "spending_core IS NOT NULL", "drop"),
 ]
-BRONZE_COMMENT = (
-    "raw user data coming from json files ingested in incremental with Auto Loader "
-    "to support schema inference and evolution"
-)
-SILVER_COMMENT = "User data cleaned and anonymized for analysis."
-SPEND_COMMENT = "Spending score from raw data"
-GOLD_COMMENT = "Finale user table with all information for Analysis / ML"
+BRONZE_COMMENT = "raw users from JSON files, taken in incrementally; unexpected fields are kept"
+SILVER_COMMENT = "users cleaned and anonymised"
+GOLD_COMMENT = "users with their spend, ready for analysis"
+SEGMENT_COMMENT = "users with their segment"
 
 
 @dataclass
@@ -99,6 +98,8 @@ def load_spend(
     no number becomes NULL. A hinted key that is no number is rescued as well.
     """
     spark, log = space.spark, space.log(table)
+    if not has_files(spark, folder):
+        return log
     remembered = SchemaLog(spark, f"{space.root}/schemas/{table}")
     schema = remembered.load_or_infer(folder, "csv", hints)
     append = log.batch_appender(table)
@@ -127,7 +128,7 @@ def load_checked_spend(space: Workspace, folder: str) -> tuple[ChangeLog, DataFr
 
 def silver_flow(name: str, source: str, declared: bool, drop_rescued: bool = True) -> Flow:
     def build(spark: SparkSession) -> DataFrame:
-        users = spark.readStream.table(source)
+        users = new_rows(spark, source)
         if declared:
             return clean_users_declared(users)
         return clean_users(users, capitalise=True, cast_id=False, drop_rescued=drop_rescued)
@@ -152,21 +153,51 @@ def join_spend(users: DataFrame, spend: DataFrame, how: str, hot: list | None =
     return joined.select(F.col("_text_id").alias("id"), *others)
 
 
-def _hot_ids(spark: SparkSession, silver: str, spend: DataFrame) -> list:
-    ids = spark.table(silver).select(F.col("id").try_cast(spend.schema["id"].dataType).alias("id"))
-    return hot_keys(ids, "id")
+def _hot_ids(spark: SparkSession, silver: str, spend: DataFrame, since: datetime | None) -> list:
+    """Ids that dominate the silver files written after ``since``; only ids are read.
+
+    What is found only tells the join which keys to spread, so a file missed or
+    counted twice changes no row.
+    """
+    users = spark.table(silver)
+    if since is not None:
+        users = users.where(F.col("_metadata.file_modification_time") >= F.lit(since))
+    key = F.col("id").try_cast(spend.schema["id"].dataType)
+    return hot_keys(users.select(key.alias("id")), "id")
 
 
 def gold_flow(
-    space: Workspace, name: str, silver: str, spend: ChangeLog, how: str, declared: bool,
+    space: Workspace,
+    name: str,
+    silver: str,
+    spend: ChangeLog,
+    how: str,
+    declared: bool,
     target: ChangeLog | None = None,
 ) -> Flow:
+    flow = Flow(name, None, GOLD_RULES if declared else [], GOLD_COMMENT, target)
+
     def build(spark: SparkSession) -> DataFrame:
-        users, rows = spark.readStream.table(silver), spend.as_of()
-        joined = join_spend(users, rows, how, _hot_ids(spark, silver, rows))
+        users, rows = new_rows(spark, silver), spend.as_of()
+        hot = _hot_ids(spark, silver, rows, last_commit(spark, flow, space.root))
+        joined = join_spend(users, rows, how, hot)
         return joined if declared else joined.drop(RESCUED)
 
-    return Flow(name, build, GOLD_RULES if declared else [], GOLD_COMMENT, target)
+    flow.build = build
+    return flow
+
+
+# ---- segments ----------------------------------------------------------------
+
+
+def segment_flow(name: str, gold: str, function: str) -> Flow:
+    """New gold rows with the segment a registered SQL function gives them."""
+
+    def build(spark: SparkSession) -> DataFrame:
+        call = f"{function}(age, annual_income, spending_core)"
+        return new_rows(spark, gold).select("*", F.expr(call).alias("segment"))
+
+    return Flow(name, build, [], SEGMENT_COMMENT)
 
 
 # ---- whole pipelines ---------------------------------------------------------
@@ -202,8 +233,8 @@ def overview_pipeline(space: Workspace, source: Landing) -> ChangeLog:
     return gold
 
 
-def declarative_pipeline(space: Workspace, source: Landing) -> tuple[ChangeLog, DataFrame]:
-    """The pipeline with rules; returns gold and the rule counters of the run.
+def declarative_pipeline(space: Workspace, source: Landing) -> tuple[str, DataFrame]:
+    """The pipeline with rules; returns gold's table name and the rule counters of the run.
 
     The list below is the graph: a flow reads only tables written above it.
     """
@@ -216,8 +247,8 @@ def declarative_pipeline(space: Workspace, source: Landing) -> tuple[ChangeLog,
     )
     silver_metrics = run_flow(spark, silver_flow(silver, bronze, declared=True), space.root)
     spend, spend_metrics = load_checked_spend(space, source.spend)
-    gold = space.log("user_gold_dlt")
-    flow = gold_flow(space, space.name("user_gold_dlt"), silver, spend, "left", True, gold)
+    gold = space.name("user_gold_dlt")
+    flow = gold_flow(space, gold, silver, spend, "left", declared=True)
     gold_metrics = run_flow(spark, flow, space.root)
     for more in (silver_metrics, spend_metrics, gold_metrics):
         metrics = metrics.unionByName(more)

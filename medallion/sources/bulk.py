@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from medallion.sources.csv_folder import csv_batches
 from medallion.sources.files import has_files
 from medallion.sources.json_lines import json_stream
+from medallion.streaming.control import finish
 
 
 def copy_into(
@@ -34,5 +35,4 @@ def copy_into(
         query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     else:
         raise ValueError(f"no bulk load for format {fmt!r}")
-    query.awaitTermination()
-    return sum(1 for progress in query.recentProgress if progress["numInputRows"] > 0)
+    return sum(1 for progress in finish(query) if progress["numInputRows"] > 0)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.sources.json_lines import RESCUED, rescue
+from medallion.sources.json_lines import RESCUED, misfits, rescued_text
 
 CORRUPT = "_corrupt_record"
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -43,11 +44,12 @@ def _parse_cells(cells: DataFrame, header: list[str], schema: T.StructType) -> D
         for f in schema
         if f.name != RESCUED
     ]
-    return cells.select(*columns, rescue(kept, schema).alias(RESCUED))
+    cells = cells.withColumn("_misfits", misfits(kept, schema))
+    return cells.select(*columns, rescued_text("_misfits").alias(RESCUED))
 
 
 def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First line of each file: (path, header)."""
+    """First line of each file: (path, header). Paths come URL-encoded."""
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -61,10 +63,13 @@ def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 def header_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], list[str]]]:
     """(header, files) per distinct header; at most one group per listed file."""
     found = header_lines(spark, paths).groupBy("header").agg(F.collect_list("path").alias("paths"))
+    known = set(paths)
     groups = []
     for row in found.collect():
-        columns = spark.read.option("header", True).csv(row.paths[0]).columns
-        groups.append((columns, sorted(row.paths)))
+        files = sorted(unquote(path) for path in row.paths)
+        if not known.issuperset(files):
+            raise ValueError(f"cannot tell which files these are: {set(files) - known}")
+        groups.append((spark.read.option("header", True).csv(files[0]).columns, files))
     return sorted(groups)
 
 

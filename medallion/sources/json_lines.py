@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
+BATCH_BYTES = 1 << 40
 
 
 def as_map(value: str | Column) -> Column:
     return F.from_json(value, T.MapType(T.StringType(), T.StringType()))
 
 
-def rescue(cells: Column, schema: T.StructType) -> Column:
-    """JSON text of the cells that are unknown to ``schema`` or do not cast to it, else NULL.
+def misfits(cells: Column, schema: T.StructType) -> Column:
+    """The cells that are unknown to ``schema`` or do not cast to it.
 
     ``cells`` is a string-to-string map of one raw row. String columns always
     cast, so only typed columns add a test.
@@ -28,7 +29,18 @@ def rescue(cells: Column, schema: T.StructType) -> Column:
             found = found | ((name == field.name) & lost)
         return found
 
-    return F.nullif(F.to_json(F.map_filter(cells, misfit)), F.lit("{}"))
+    return F.map_filter(cells, misfit)
+
+
+def rescued_text(cells: str) -> Column:
+    """A map column as JSON text, NULL when it is empty."""
+    return F.when(F.size(cells) > 0, F.to_json(cells))
+
+
+def throttled(reader, max_files: int | None = None):
+    if max_files:
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", BATCH_BYTES)
 
 
 def json_lines(reader, folder: str) -> DataFrame:
@@ -45,20 +57,23 @@ def parse_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
     old checkpoint.
     """
     parsed = lines.select("value", as_map("value").alias("m"))
+    parsed = parsed.select("*", misfits(F.col("m"), schema).alias("misfits"))
     columns = [
         F.col("m")[field.name].try_cast(field.dataType).alias(field.name)
         for field in schema
         if field.name != RESCUED
     ]
-    misfits = F.when(F.col("m").isNull(), F.col("value")).otherwise(rescue(F.col("m"), schema))
-    return parsed.select(*columns, misfits.alias(RESCUED))
+    kept = F.when(F.col("m").isNull(), F.col("value")).otherwise(rescued_text("misfits"))
+    return parsed.select(*columns, kept.alias(RESCUED))
 
 
 def json_stream(
     spark: SparkSession, folder: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:
-    """New JSON files of ``folder`` as a stream, at most ``max_files`` per micro-batch."""
-    reader = spark.readStream
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    """New JSON files of ``folder`` as a stream, at most ``max_files`` per micro-batch.
+
+    Without ``max_files`` a micro-batch is limited by bytes, so that a first load of a
+    large folder is committed in steps.
+    """
+    reader = throttled(spark.readStream, max_files)
     return parse_json(json_lines(reader, folder), schema)

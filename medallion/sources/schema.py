@@ -81,6 +81,8 @@ class SchemaLog:
         schema = self.load()
         if schema is None:
             schema = infer_schema(self.spark, folder, fmt, sample_files)
+            if not schema.fields:
+                return apply_hints(schema, hints) if hints else schema
             if hints:
                 schema = apply_hints(schema, hints)
             self.save(schema)

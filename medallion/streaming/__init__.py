@@ -1,5 +1,5 @@
 from medallion.streaming.control import finish, stop_all_streams, wait_for_all_streams
-from medallion.streaming.flows import Flow, run_flow, run_flows
+from medallion.streaming.flows import Flow, new_rows, run_flow, run_flows, start_flow
 from medallion.streaming.rules import Rule, apply_rules, rule_counts, rule_metrics
 
 __all__ = [
@@ -7,10 +7,12 @@ __all__ = [
     "Rule",
     "apply_rules",
     "finish",
+    "new_rows",
     "rule_counts",
     "rule_metrics",
     "run_flow",
     "run_flows",
+    "start_flow",
     "stop_all_streams",
     "wait_for_all_streams",
 ]

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators.changelog import ChangeLog
+from medallion.sources.files import list_files
+from medallion.sources.json_lines import throttled
 from medallion.streaming.control import finish
 from medallion.streaming.rules import METRICS, Rule, apply_rules, rule_metrics
 
@@ -28,6 +33,13 @@ class Flow:
     comment: str = ""
     target: ChangeLog | None = None
 
+    @property
+    def label(self) -> str:
+        return self.name.rsplit(".", 1)[-1]
+
+    def checkpoint(self, root: str) -> str:
+        return f"{root}/checkpoints/{self.label}"
+
 
 def create_database(spark: SparkSession, name: str, location: str, reset: bool = False) -> None:
     """Create the database at ``location`` and use it; ``reset`` empties it first."""
@@ -37,6 +49,11 @@ def create_database(spark: SparkSession, name: str, location: str, reset: bool =
     spark.sql(f"USE {name}")
 
 
+def new_rows(spark: SparkSession, table: str, max_files: int | None = None) -> DataFrame:
+    """Rows added to a table since the reading flow's last run, as a stream."""
+    return throttled(spark.readStream, max_files).table(table)
+
+
 def add_missing_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
     """Widen a parquet table; older rows read the new columns as NULL."""
     known = {name.lower() for name in spark.table(table).columns}
@@ -55,28 +72,37 @@ def append_to_table(spark: SparkSession, rows: DataFrame, table: str) -> None:
     shape.unionByName(rows, allowMissingColumns=True).write.mode("append").saveAsTable(table)
 
 
-def run_flow(spark: SparkSession, flow: Flow, root: str) -> DataFrame:
-    """Take in everything new, then stop; returns the rule counters of this run.
+def start_flow(spark: SparkSession, flow: Flow, root: str, once: bool = False) -> StreamingQuery:
+    """Start a flow: micro-batches as data arrives, or with ``once`` what is there now.
 
-    The checkpoint belongs to this flow and this target alone, so a second run
-    adds only what arrived since.
+    The checkpoint belongs to this flow and this target alone, so a restart adds
+    only what arrived since.
     """
-    label = flow.name.rsplit(".", 1)[-1]
-    rows = apply_rules(flow.build(spark), label, flow.rules)
-    checkpoint = f"{root}/checkpoints/{label}"
+    rows = apply_rules(flow.build(spark), flow.label, flow.rules)
+    writer = rows.writeStream.option("checkpointLocation", flow.checkpoint(root))
+    if once:
+        writer = writer.trigger(availableNow=True)
     if flow.target is not None:
-        writer = rows.writeStream.foreachBatch(flow.target.batch_appender(label))
-        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    else:
-        if spark.catalog.tableExists(flow.name):
-            add_missing_columns(spark, flow.name, rows.schema)
-        writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-        query = writer.trigger(availableNow=True).toTable(flow.name)
-    progress = finish(query)
-    if flow.comment and flow.target is None:
+        return writer.foreachBatch(flow.target.batch_appender(flow.label)).start()
+    if spark.catalog.tableExists(flow.name):
+        add_missing_columns(spark, flow.name, rows.schema)
+    query = writer.format("parquet").toTable(flow.name)
+    if flow.comment:
         text = flow.comment.replace("'", "\\'")
         spark.sql(f"COMMENT ON TABLE {flow.name} IS '{text}'")
-    return rule_metrics(spark, label, flow.rules, progress)
+    return query
+
+
+def run_flow(spark: SparkSession, flow: Flow, root: str) -> DataFrame:
+    """Take in everything new, then stop; returns the rule counters of this run."""
+    progress = finish(start_flow(spark, flow, root, once=True))
+    return rule_metrics(spark, flow.label, flow.rules, progress)
+
+
+def last_commit(spark: SparkSession, flow: Flow, root: str) -> datetime | None:
+    """When the flow last finished a micro-batch."""
+    commits = list_files(spark, f"{flow.checkpoint(root)}/commits")
+    return commits.agg(F.max("modificationTime")).first()[0]
 
 
 def run_flows(spark: SparkSession, flows: list[Flow], root: str) -> DataFrame:
