@@ -58,8 +58,13 @@ class ChangeLog:
                 raise
             return self.spark.createDataFrame([], COMMIT_ROW)
 
-    def _head(self, version: int | None = None) -> Row:
-        """What a read of ``version`` (default: the latest) has to know, in one small job."""
+    def _head(
+        self, version: int | None = None, writer: str | None = None, batch_id: int | None = None
+    ) -> Row:
+        """What a read of ``version`` (default: the latest) has to know, in one small job.
+
+        ``seen`` is the version that holds batch ``batch_id`` of ``writer``, if any.
+        """
         latest = F.max("version").alias("latest")
         done = self.commits()
         if version is not None:
@@ -73,6 +78,9 @@ class ChangeLog:
             F.coalesce(F.max(F.when(F.col("has_deletes"), F.col("version"))), F.lit(-1)).alias(
                 "last_delete"
             ),
+            F.max(
+                F.when((F.col("writer") == writer) & (F.col("batch_id") == batch_id), F.col("version"))
+            ).alias("seen"),
         ).first()
 
     def latest_version(self) -> int:
@@ -241,12 +249,9 @@ class ChangeLog:
         With ``writer`` and ``batch_id`` a batch that was committed before is left
         out, so a replayed micro-batch adds nothing.
         """
-        if writer is not None:
-            mine = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-            seen = self.commits().where(mine).agg(F.max("version")).first()[0]
-            if seen is not None:
-                return seen
-        head = self._head()
+        head = self._head(writer=writer, batch_id=batch_id)
+        if head.seen is not None:
+            return head.seen
         columns = self._widened(_columns(head), rows.schema)
         return self._commit(
             head.version + 1, operation, self._inserts(rows), columns, writer=writer, batch_id=batch_id

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,46 +10,75 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def table_profile(rows: DataFrame, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """One row per column, all from one aggregate. Quantiles and distinct counts are sketches.
+def _named(name: str, measures: dict[str, Column]) -> Column:
+    return F.struct(F.lit(name).alias("column"), *[m.alias(label) for label, m in measures.items()])
+
 
-    Minimum and maximum are text; mean, deviation and quantiles are NULL for columns
-    that are not numbers.
+def exact_profile(rows: DataFrame) -> DataFrame:
+    """Per column: rows, nulls, mean, deviation, minimum and maximum.
+
+    Minimum and maximum are text; mean and deviation are NULL for columns that are
+    not numbers. The extremes of text keep an aggregate from being compiled, so such
+    columns have one of their own; each column is still read once.
     """
+    sized = [f for f in rows.schema if not isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    text = [f for f in rows.schema if f not in sized]
+    parts = [_exact(rows, fields) for fields in (sized, text) if fields]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _exact(rows: DataFrame, fields: list[T.StructField]) -> DataFrame:
     nothing = F.lit(None).cast("double")
     measures: list[Column] = [F.count(F.lit(1)).alias("rows")]
     entries = []
-    for i, field in enumerate(rows.schema):
+    for i, field in enumerate(fields):
         column = F.col(f"`{field.name}`")
         numeric = isinstance(field.dataType, T.NumericType)
         measures += [
-            F.count_if(column.isNull()).alias(f"nulls_{i}"),
-            F.min(column).cast("string").alias(f"low_{i}"),
-            F.max(column).cast("string").alias(f"high_{i}"),
-            F.approx_count_distinct(column).alias(f"distinct_{i}"),
+            F.count(column).alias(f"filled_{i}"),
+            F.min(column).alias(f"low_{i}"),
+            F.max(column).alias(f"high_{i}"),
         ]
         if numeric:
-            measures += [
-                F.avg(column).alias(f"mean_{i}"),
-                F.stddev(column).alias(f"deviation_{i}"),
-                F.percentile_approx(column.cast("double"), list(quantiles)).alias(f"quantiles_{i}"),
-            ]
-        entries.append(
-            F.struct(
-                F.lit(field.name).alias("column"),
-                F.col("rows"),
-                F.col(f"nulls_{i}").alias("nulls"),
-                (F.col(f"mean_{i}") if numeric else nothing).alias("mean"),
-                (F.col(f"deviation_{i}") if numeric else nothing).alias("stddev"),
-                F.col(f"low_{i}").alias("min"),
-                (F.col(f"quantiles_{i}") if numeric else F.lit(None).cast("array<double>")).alias("quantiles"),
-                F.col(f"high_{i}").alias("max"),
-                F.col(f"distinct_{i}").alias("approx_distinct"),
-            )
-        )
+            measures += [F.avg(column).alias(f"mean_{i}"), F.stddev(column).alias(f"deviation_{i}")]
+        found = {
+            "rows": F.col("rows"),
+            "nulls": F.col("rows") - F.col(f"filled_{i}"),
+            "mean": F.col(f"mean_{i}").cast("double") if numeric else nothing,
+            "stddev": F.col(f"deviation_{i}").cast("double") if numeric else nothing,
+            "min": F.col(f"low_{i}").cast("string"),
+            "max": F.col(f"high_{i}").cast("string"),
+        }
+        entries.append(_named(field.name, found))
     return rows.agg(*measures).select(F.inline(F.array(*entries)))
 
 
+def sketch_profile(rows: DataFrame, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Per column: approximate quantiles (NULL unless a number) and distinct count."""
+    ranks = F.array(*[F.lit(q) for q in quantiles])
+    measures, entries = [], []
+    for i, field in enumerate(rows.schema):
+        column = F.col(f"`{field.name}`")
+        measures.append(F.approx_count_distinct(column).alias(f"distinct_{i}"))
+        cuts = F.lit(None).cast("array<double>")
+        if isinstance(field.dataType, T.NumericType):
+            measures.append(F.kll_sketch_agg_double(column.cast("double")).alias(f"sketch_{i}"))
+            cuts = F.kll_sketch_get_quantile_double(f"sketch_{i}", ranks)
+            cuts = F.when(F.kll_sketch_get_n_double(f"sketch_{i}") > 0, cuts)
+        found = {"quantiles": cuts, "approx_distinct": F.col(f"distinct_{i}")}
+        entries.append(_named(field.name, found))
+    return rows.agg(*measures).select(F.inline(F.array(*entries)))
+
+
+def table_profile(rows: DataFrame, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """One row per column of ``rows``, exact measures and sketches.
+
+    Exact measures are compiled as long as no sketch shares their aggregate, so the
+    two are taken in a scan each and joined by column name.
+    """
+    return exact_profile(rows).join(sketch_profile(rows, quantiles), "column")
+
+
 def frequent_values(rows: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
     """The ``k`` most frequent values of each column, exactly.
 
@@ -66,25 +96,26 @@ def frequent_values(rows: DataFrame, columns: list[str], k: int = 5) -> DataFram
 
 
 def pair_regression(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Regression line and correlation of every column pair (y over x), in one aggregate."""
-    measures, entries = [], []
-    for x, y in combinations(columns, 2):
-        name = f"{x}__{y}"
-        measures += [
-            F.regr_slope(y, x).alias(f"slope_{name}"),
-            F.regr_intercept(y, x).alias(f"intercept_{name}"),
-            F.corr(x, y).alias(f"corr_{name}"),
-        ]
-        entries.append(
-            F.struct(
-                F.lit(x).alias("x"),
-                F.lit(y).alias("y"),
-                F.col(f"slope_{name}").alias("slope"),
-                F.col(f"intercept_{name}").alias("intercept"),
-                F.col(f"corr_{name}").alias("corr"),
-            )
+    """Regression line and correlation of every column pair (y over x), in one aggregate.
+
+    Pairs are rows, not columns, of that aggregate: its code stays short enough to be
+    compiled, and every task sends one row per pair to the shuffle.
+    """
+    points = [
+        F.struct(
+            F.lit(x).alias("x"),
+            F.lit(y).alias("y"),
+            F.col(x).cast("double").alias("x_value"),
+            F.col(y).cast("double").alias("y_value"),
         )
-    return rows.agg(*measures).select(F.inline(F.array(*entries)))
+        for x, y in combinations(columns, 2)
+    ]
+    long = rows.select(F.inline(F.array(*points)))
+    return long.groupBy("x", "y").agg(
+        F.regr_slope("y_value", "x_value").alias("slope"),
+        F.regr_intercept("y_value", "x_value").alias("intercept"),
+        F.corr("x_value", "y_value").alias("corr"),
+    )
 
 
 class Grid:

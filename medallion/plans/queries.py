@@ -38,10 +38,10 @@ from medallion.plans.retail import (
     Workspace,
 )
 from medallion.session import scratch_dir
-from medallion.sources.bulk import copy_into
 from medallion.sources.files import list_files, query_in_place, read_or_empty
 from medallion.sources.json_lines import RESCUED
 from medallion.sources.schema import SchemaLog, track_json_columns
+from medallion.streaming.bulk import copy_into
 from medallion.streaming.flows import append_to_table, run_flow
 from medallion.streaming.rules import kept_rows
 

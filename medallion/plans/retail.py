@@ -18,11 +18,11 @@ from medallion.operators.changelog import ChangeLog
 from medallion.operators.joins import hot_keys, key_as, spread_join
 from medallion.plans.landing import USER_COLUMNS, Landing
 from medallion.session import scratch_dir
-from medallion.sources.bulk import copy_into
 from medallion.sources.csv_folder import csv_batches
 from medallion.sources.files import has_files
 from medallion.sources.json_lines import RESCUED, json_stream
 from medallion.sources.schema import SchemaLog
+from medallion.streaming.bulk import copy_into
 from medallion.streaming.control import finish
 from medallion.streaming.flows import Flow, last_commit, new_rows, run_flow
 from medallion.streaming.rules import Rule, rule_counts

@@ -1,4 +1,3 @@
-from medallion.sources.bulk import copy_into
 from medallion.sources.csv_folder import csv_batches, read_csv_files
 from medallion.sources.files import (
     folder_bytes,
@@ -14,7 +13,6 @@ from medallion.sources.schema import SchemaLog, apply_hints, infer_schema, track
 __all__ = [
     "SchemaLog",
     "apply_hints",
-    "copy_into",
     "csv_batches",
     "folder_bytes",
     "has_files",
