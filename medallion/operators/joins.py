@@ -15,8 +15,8 @@ def hot_keys(rows: DataFrame, key: str, share: float = 0.01) -> list:
     Its counts may be off; that only decides which keys are spread, never a result.
     """
     track = int(10 / share)
-    found = rows.agg(
-        F.count(F.col(key)).alias("total"),
+    found = rows.where(F.col(key).isNotNull()).agg(
+        F.count(F.lit(1)).alias("total"),
         F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {track})").alias("top"),
     ).first()
     return [entry.item for entry in found.top or [] if entry["count"] >= share * found.total]
