@@ -140,9 +140,10 @@ class Grid:
             self.bandwidth[name] = (sigma * count ** (-1 / 5), sigma * count ** (-1 / 6))
 
     def bin_of(self, name: str) -> Column:
-        """0-based bin; the highest value belongs to the last one."""
+        """0-based bin, NULL for NULL; the highest value belongs to the last one."""
         offset = F.floor((F.col(name).cast("double") - self.low[name]) / self.width[name])
-        return F.least(offset, F.lit(self.bins - 1)).cast("int")
+        last = F.lit(self.bins - 1)
+        return F.when(offset.isNotNull(), F.least(offset, last)).cast("int")
 
     def centre(self, name: str, bin_column: Column) -> Column:
         return F.lit(self.low[name]) + (bin_column + 0.5) * self.width[name]

@@ -8,6 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -245,10 +247,7 @@ class SegmentModel:
         register_segments(spark, name, *self._parts(), self.labels)
 
     def register_vectorised(self, spark: SparkSession, name: str = SQL_NAME) -> None:
-        """The same function over Arrow batches, for engines of models Spark cannot express."""
-        import numpy as np
-        import pandas as pd
-
+        """The same function over Arrow batches, the way to serve a model SQL cannot express."""
         found, centres = self._parts()
         low, high = SCALED_RANGE
         least = np.array([found[c][0] for c in self.columns])
@@ -268,8 +267,7 @@ class SegmentModel:
             picked[known] = names[(gap[known] ** 2).sum(axis=2).argmin(axis=1)]
             return pd.Series(picked)
 
-        predict.__annotations__ = {"return": pd.Series}
-        spark.udf.register(name, F.pandas_udf(predict, "string", F.PandasUDFType.SCALAR))
+        spark.udf.register(name, F.pandas_udf(predict, "string"))
 
 
 def fit_segments(

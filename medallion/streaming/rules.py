@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 METRICS = "flow string, rule string, batch_id bigint, passed bigint, failed bigint, dropped bigint"
@@ -38,11 +38,11 @@ def kept_rows(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     return rows.where(reduce(Column.__and__, drops)) if drops else rows
 
 
-def apply_rules(rows: DataFrame, name: str | Observation, rules: list[Rule]) -> DataFrame:
+def apply_rules(rows: DataFrame, name: str, rules: list[Rule]) -> DataFrame:
     """Observe every rule on all rows, then drop the rows that fail a drop rule.
 
-    ``name`` labels the counters in stream progress; a batch passes an ``Observation``.
-    Counting rides on the job that writes the rows: no extra pass.
+    ``name`` labels the counters in the progress of a stream: counting rides on the job
+    that writes the rows, no extra pass. A batch counts with :func:`rule_counts`.
     """
     if not rules:
         return rows
