@@ -43,7 +43,7 @@ HEADLINE = [
 
 
 def main() -> None:
-    spark = build_session("bench", f"local[{CPUS}]", spark_sql_shuffle_partitions=CPUS)
+    spark = build_session("bench", f"local[{CPUS}]", spark_sql_shuffle_partitions=CPUS, spark_driver_memory="7g")
     spark.sparkContext.setLogLevel("ERROR")
     landing(spark, SF_DIR)
     users_table(spark, SF_DIR)

@@ -1,3 +1,4 @@
+from medallion.functions.casting import soft_cast
 from medallion.functions.cleaning import (
     DATE_FORMAT,
     anonymised,
@@ -16,4 +17,5 @@ __all__ = [
     "file_of_row",
     "label_for",
     "parsed_time",
+    "soft_cast",
 ]

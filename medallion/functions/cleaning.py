@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.sources.json_lines import RESCUED
+from medallion.functions.casting import soft_cast
+
+RESCUED = "_rescued_data"
 
 # The text format of dates in the raw files.
 DATE_FORMAT = "MM-dd-yyyy HH:mm:ss"
@@ -50,7 +52,7 @@ def clean_users(users: DataFrame, capitalise: bool, cast_id: bool, drop_rescued:
     if capitalise:
         replaced |= {name: capitalised(name) for name in ("firstname", "lastname")}
     if cast_id:
-        replaced["id"] = F.col("id").try_cast("int")
+        replaced["id"] = soft_cast(F.col("id"), "int")
     cleaned = users.withColumns(replaced)
     return cleaned.drop(RESCUED) if drop_rescued else cleaned
 

@@ -258,10 +258,16 @@ class ChangeLog:
         )
 
     def batch_appender(self, writer: str) -> Callable[[DataFrame, int], None]:
-        """``append`` in the shape ``foreachBatch`` wants, exactly once per batch id."""
+        """``append`` in the shape ``foreachBatch`` wants, exactly once per batch.
+
+        Batch ids start anew with a new checkpoint, and so does the query id that is
+        stored in it; together they name a batch.
+        """
 
         def sink(rows: DataFrame, batch_id: int) -> None:
-            self.append(rows, writer, batch_id, "stream append")
+            query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+            name = f"{writer}:{query}" if query else writer
+            self.append(rows, name, batch_id, "stream append")
 
         return sink
 

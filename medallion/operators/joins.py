@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medallion.functions.casting import soft_cast
+
 SALT = "_salt"
 
 
-def hot_keys(rows: DataFrame, key: str, share: float = 0.01) -> list:
-    """Keys that hold at least ``share`` of the rows; at most 1/share of them.
+def hot_keys(rows: DataFrame, key: str, share: float = 0.01, look_at: float = 0.01) -> list:
+    """Keys that hold about ``share`` of the rows or more; at most 1/share of them.
 
-    One pass with a bounded sketch per task, so unique keys are never shuffled.
-    Its counts may be off; that only decides which keys are spread, never a result.
+    A hint for :func:`spread_join`, which is right whatever it is given. So it may be
+    cheap: it looks at a fraction ``look_at`` of one column, with a bounded sketch per
+    task, and unique keys are never shuffled.
     """
-    track = int(10 / share)
-    found = rows.where(F.col(key).isNotNull()).agg(
+    known = rows.where(F.col(key).isNotNull())
+    if look_at < 1:
+        known = known.sample(look_at, seed=7)
+    found = known.agg(
         F.count(F.lit(1)).alias("total"),
-        F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {track})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {int(10 / share)})").alias("top"),
     ).first()
     return [entry.item for entry in found.top or [] if entry["count"] >= share * found.total]
 
@@ -62,4 +67,4 @@ def spread_join(
 
 def key_as(column: str, dtype: str) -> Column:
     """A join key cast to the other side's type; text that does not cast becomes NULL."""
-    return F.col(column).try_cast(dtype)
+    return soft_cast(F.col(column), dtype)

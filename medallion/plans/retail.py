@@ -162,8 +162,8 @@ def _hot_ids(spark: SparkSession, silver: str, spend: DataFrame, since: datetime
     users = spark.table(silver)
     if since is not None:
         users = users.where(F.col("_metadata.file_modification_time") >= F.lit(since))
-    key = F.col("id").try_cast(spend.schema["id"].dataType)
-    return hot_keys(users.select(key.alias("id")), "id")
+    key = users.select(key_as("id", spend.schema["id"].dataType.simpleString()).alias("id"))
+    return hot_keys(key, "id")
 
 
 def gold_flow(

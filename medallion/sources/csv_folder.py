@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.functions.casting import soft_cast
 from medallion.sources.json_lines import RESCUED, misfits, rescued_text
 
 CORRUPT = "_corrupt_record"
@@ -40,7 +41,11 @@ def _parse_cells(cells: DataFrame, header: list[str], schema: T.StructType) -> D
     all_cells = F.create_map(*pairs, F.lit(CORRUPT), raw_line)
     kept = F.map_filter(all_cells, lambda name, cell: cell.isNotNull())
     columns = [
-        (F.col(f"`{f.name}`") if f.name in header else F.lit(None)).try_cast(f.dataType).alias(f.name)
+        (
+            soft_cast(F.col(f"`{f.name}`"), f.dataType)
+            if f.name in header
+            else F.lit(None).cast(f.dataType)
+        ).alias(f.name)
         for f in schema
         if f.name != RESCUED
     ]

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RESCUED = "_rescued_data"
+from medallion.functions.casting import soft_cast
+from medallion.functions.cleaning import RESCUED
+
 BATCH_BYTES = 1 << 40
 
 
@@ -25,7 +27,7 @@ def misfits(cells: Column, schema: T.StructType) -> Column:
     def misfit(name: Column, cell: Column) -> Column:
         found = ~name.isin(schema.names)
         for field in typed:
-            lost = cell.isNotNull() & cell.try_cast(field.dataType).isNull()
+            lost = cell.isNotNull() & soft_cast(cell, field.dataType).isNull()
             found = found | ((name == field.name) & lost)
         return found
 
@@ -59,7 +61,7 @@ def parse_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
     parsed = lines.select("value", as_map("value").alias("m"))
     parsed = parsed.select("*", misfits(F.col("m"), schema).alias("misfits"))
     columns = [
-        F.col("m")[field.name].try_cast(field.dataType).alias(field.name)
+        soft_cast(F.col("m")[field.name], field.dataType).alias(field.name)
         for field in schema
         if field.name != RESCUED
     ]

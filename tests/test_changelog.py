@@ -197,3 +197,18 @@ def test_random_histories_match_a_multiset(spark, folder):
         assert rows_of(log.as_of()) == sorted(model, key=repr), (step, kind)
     for version in (0, 5, 9, 13):
         assert rows_of(log.as_of(version)) == sorted(versions[version], key=repr)
+
+
+def test_a_new_checkpoint_is_a_new_writer(spark, folder):
+    log = ChangeLog(spark, f"{folder}/log")
+    frame(spark, [("a", 1), ("b", 2)]).write.parquet(f"{folder}/in")
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(DDL).parquet(f"{folder}/in")
+        writer = stream.writeStream.foreachBatch(log.batch_appender("feed"))
+        writer = writer.option("checkpointLocation", f"{folder}/{checkpoint}").trigger(availableNow=True)
+        writer.start().awaitTermination()
+
+    for checkpoint in ("one", "one", "two"):
+        run(checkpoint)
+    assert log.as_of().count() == 4 and log.latest_version() == 1

@@ -2,9 +2,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from medallion.functions import anonymised, capitalised, clean_users, label_for, parsed_time
+from medallion.functions import (
+    anonymised,
+    capitalised,
+    clean_users,
+    label_for,
+    parsed_time,
+    soft_cast,
+)
 from medallion.functions.cleaning import clean_users_declared
 
 
@@ -27,6 +35,18 @@ def test_labels(spark):
     assert [row.n for row in got] == ["small", "large", None]
 
 
+ODD = """1|-5|+7| 8 |1.5|.5|5.|1e3|0x1p3|1E|x|||-|--1|1 2|NaN|nan|inf|-Infinity|infinity|1f|2D|99999999999|
+9223372036854775808|١|1_000|\x001|1\x7f|1.2.3|e5|+.e1|bad-5|nand|infx|5L|0x10|true"""
+
+
+@pytest.mark.parametrize("dtype", ["tinyint", "int", "bigint", "float", "double", "decimal(10,2)", "date", "boolean"])
+def test_soft_cast_equals_try_cast(spark, dtype):
+    text = [(t,) for t in ODD.replace("\\x00", "\x00").split("|")] + [(None,)]
+    df = spark.createDataFrame(text, "t string")
+    odd = df.select("t", soft_cast(F.col("t"), dtype).alias("a"), F.col("t").try_cast(dtype).alias("b"))
+    assert odd.where("NOT (a <=> b)").collect() == []
+
+
 def user(spark):
     names = "id email firstname lastname address city creation_date last_activity_date last_ip postcode".split()
     values = ("x1", "a@b", "ann", "lee ray", "1 st", "rome", "01-02-2015 00:00:00", "bad", "1.1.1.1", "00001")

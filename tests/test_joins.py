@@ -27,8 +27,8 @@ def test_spread_join_equals_the_plain_join(spark, how, hot):
 
 def test_hot_keys_are_found_and_null_is_none_of_them(spark):
     left, _ = sides(spark)
-    assert hot_keys(left, "k", share=0.05) == [7]
-    assert hot_keys(left.where("k > 7"), "k", share=0.05) == []
+    assert hot_keys(left, "k", 0.05, look_at=1) == [7]
+    assert hot_keys(left.where("k > 7"), "k", 0.05, look_at=1) == []
     assert hot_keys(left.limit(0), "k") == []
 
 
