@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from medallion.operators.compaction import write_sized
 from medallion.operators.joins import spread_join
+from medallion.session import literal_rows, no_rows
 
 VERSION = "_commit_version"
 CHANGE = "_change_type"
@@ -56,7 +57,7 @@ class ChangeLog:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], COMMIT_ROW)
+            return literal_rows(self.spark, [], COMMIT_ROW)
 
     def _head(
         self, version: int | None = None, writer: str | None = None, batch_id: int | None = None
@@ -138,7 +139,7 @@ class ChangeLog:
             rows.parquet(f"{self.path}/data/{VERSION}={version}")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
         row = (version, now, operation, has_deletes, writer, batch_id, ddl)
-        commit = self.spark.createDataFrame([row], COMMIT_ROW).coalesce(1)
+        commit = literal_rows(self.spark, [row], COMMIT_ROW)
         commit.write.mode("overwrite").parquet(f"{self.path}/commits/commit_id={version}")
         return version
 
@@ -160,7 +161,7 @@ class ChangeLog:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return log.where((F.col(VERSION) > after) & (F.col(VERSION) <= upto))
 
     def _at(self, version: int | None = None) -> Row:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from medallion.operators.changelog import ChangeLog
 from medallion.operators.ranking import latest_for
+from medallion.session import literal_rows
 
 TRIALS = "trial string, family string, params string, f1 double"
 FORMAT = "%Y-%m-%dT%H:%M:%S.%f"
@@ -71,7 +72,8 @@ def search_classifier(
                 trials.append((uuid.uuid4().hex[:12], family, text, float(f1)))
     finally:
         ready.unpersist()
-    return rows.sparkSession.createDataFrame(trials, TRIALS).orderBy(F.desc("f1"), "family", "params")
+    found = literal_rows(rows.sparkSession, trials, TRIALS)
+    return found.orderBy(F.desc("f1"), "family", "params")
 
 
 class RunTable:
@@ -80,8 +82,7 @@ class RunTable:
     def __init__(self, log: ChangeLog):
         self.log = log
         if log.latest_version() < 0:
-            empty = log.spark.createDataFrame([], "name string, date string")
-            log.append(empty, operation="create")
+            log.append(literal_rows(log.spark, [], "name string, date string"), operation="create")
 
     def latest(self, name: str) -> DataFrame:
         return latest_for(self.log.as_of(), F.col("name") == name, "date")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.cleaning import label_for
-from medallion.session import scratch_dir
+from medallion.session import literal_rows, scratch_dir
 
 # The model's inputs, its segment names from the lowest spending up,
 # the scaled range, and the tag its runs carry.
@@ -142,7 +142,7 @@ def elbow(
             results = list(pool.map(inheritable_thread_target(spark)(fit), ks))
     finally:
         points.unpersist()
-    return spark.createDataFrame(results, SWEEP)
+    return literal_rows(spark, results, SWEEP)
 
 
 def register_segments(
@@ -231,7 +231,7 @@ class SegmentModel:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = SparkSession.active()
         about = json.dumps({"columns": self.columns, "labels": self.labels})
-        row = spark.createDataFrame([(about,)], "value string").coalesce(1)
+        row = literal_rows(spark, [(about,)], "value string")
         row.write.mode("overwrite").text(f"{path}/about")
 
     @staticmethod

@@ -37,7 +37,7 @@ from medallion.plans.retail import (
     USERS_TEXT_ID,
     Workspace,
 )
-from medallion.session import scratch_dir
+from medallion.session import literal_rows, scratch_dir
 from medallion.sources.files import list_files, query_in_place, read_or_empty
 from medallion.sources.json_lines import RESCUED
 from medallion.sources.schema import SchemaLog, track_json_columns
@@ -484,7 +484,7 @@ def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = _gold_features(spark, sf_dir)
     score = segmentation.silhouette(segmentation.fit_segments(features), features)
-    return spark.createDataFrame([(4, score)], "k int, silhouette double")
+    return literal_rows(spark, [(4, score)], "k int, silhouette double")
 
 
 def classify_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, the shared scratch folder and small literal tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build_session(app: str, master: str | None = None, **conf: object) -> SparkSession:
@@ -36,3 +38,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="medallion-")
     return f"{base.rstrip('/')}/medallion/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(0).select(*nothing)
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A handful of rows as literals of the plan, so that no Python worker has to start."""
+    schema = T.StructType.fromDDL(ddl)
+    if not rows:
+        return no_rows(spark, schema)
+    if len(rows) > 500:
+        return spark.createDataFrame(rows, schema)
+    structs = [
+        F.struct(*[F.lit(cell).cast(field.dataType).alias(field.name) for field, cell in zip(schema, row)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

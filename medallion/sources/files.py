@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.session import no_rows
+
 FILE_LIST = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -29,7 +31,7 @@ def read_or_empty(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.session import literal_rows
 from medallion.sources.files import list_files
 from medallion.sources.json_lines import as_map, json_lines
 
@@ -72,8 +73,8 @@ class SchemaLog:
         version, current = self._latest()
         if current == schema:
             return
-        row = self.spark.createDataFrame([(version + 1, schema.json())], self.ROW)
-        row.coalesce(1).write.mode("append").parquet(self.path)
+        row = literal_rows(self.spark, [(version + 1, schema.json())], self.ROW)
+        row.write.mode("append").parquet(self.path)
 
     def load_or_infer(
         self, folder: str, fmt: str = "json", hints: str = "", sample_files: int = 10

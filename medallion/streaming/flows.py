@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators.changelog import ChangeLog
+from medallion.session import literal_rows
 from medallion.sources.files import list_files
 from medallion.sources.json_lines import throttled
 from medallion.streaming.control import finish
@@ -108,4 +109,4 @@ def last_commit(spark: SparkSession, flow: Flow, root: str) -> datetime | None:
 def run_flows(spark: SparkSession, flows: list[Flow], root: str) -> DataFrame:
     """Run flows in the order given, each after the one before it has finished."""
     metrics = [run_flow(spark, flow, root) for flow in flows]
-    return reduce(DataFrame.unionByName, metrics, spark.createDataFrame([], METRICS))
+    return reduce(DataFrame.unionByName, metrics, literal_rows(spark, [], METRICS))

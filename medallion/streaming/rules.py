@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.session import literal_rows
+
 METRICS = "flow string, rule string, batch_id bigint, passed bigint, failed bigint, dropped bigint"
 
 
@@ -68,7 +70,7 @@ def rule_metrics(
         if observed is not None:
             counts = observed if isinstance(observed, dict) else observed.asDict()
             rows += _metric_rows(flow, entry["batchId"], rules, counts)
-    return spark.createDataFrame(rows, METRICS)
+    return literal_rows(spark, rows, METRICS)
 
 
 def rule_counts(rows: DataFrame, flow: str, rules: list[Rule]) -> DataFrame:

@@ -56,6 +56,15 @@ def test_a_plain_table_is_read_without_a_shuffle(spark, folder):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+def test_filters_and_columns_reach_the_scan(spark, folder):
+    log = log_of(spark, folder, ROWS)
+    log.delete("k = 'b'")
+    plan = log.as_of().where("v > 1").select("v")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "GreaterThan(v,1)" in scan and "k:string" not in scan
+    assert "_change_type" in scan.split("PartitionFilters")[1]
+
+
 def test_restore_twice_and_across_compaction(spark, folder):
     log = log_of(spark, folder, ROWS)
     log.delete("k = 'a'")
