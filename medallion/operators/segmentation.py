@@ -118,7 +118,7 @@ def elbow(
     ks=range(2, 10),
     seed: int = 0,
     tag: str = RUN_TAG,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Fit k-means for every k, ``parallelism`` at a time; a row per k with its inertia.
 
@@ -174,6 +174,35 @@ def register_segments(
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({inputs}) RETURNS STRING RETURN {body}")
 
 
+def register_segments_vectorised(
+    spark: SparkSession,
+    name: str,
+    limits: dict[str, tuple[float, float]],
+    centres: list[list[float]],
+    labels: dict[str, str],
+) -> None:
+    """The same function over Arrow batches, the way to serve a model SQL cannot express."""
+    low, high = SCALED_RANGE
+    least = np.array([pair[0] for pair in limits.values()])
+    span = np.array([pair[1] - pair[0] for pair in limits.values()])
+    flat = span == 0
+    span = np.where(flat, 1.0, span)
+    places = np.array(centres)
+    names = np.array([labels[f"cluster_{i}"] for i in range(len(centres))], dtype=object)
+
+    def predict(*inputs: pd.Series) -> pd.Series:
+        raw = np.column_stack([series.astype("float64").to_numpy() for series in inputs])
+        known = ~np.isnan(raw).any(axis=1)
+        unit = (raw - least) / span * (high - low) + low
+        gap = unit[:, None, :] - places[None, :, :]
+        gap[:, :, flat] = 0.0
+        picked = np.full(len(raw), None, dtype=object)
+        picked[known] = names[(gap[known] ** 2).sum(axis=2).argmin(axis=1)]
+        return pd.Series(picked)
+
+    spark.udf.register(name, F.pandas_udf(predict, "string"))
+
+
 @dataclass
 class SegmentModel:
     """A fitted scaler and k-means with named clusters; scores raw, unscaled columns."""
@@ -247,27 +276,8 @@ class SegmentModel:
         register_segments(spark, name, *self._parts(), self.labels)
 
     def register_vectorised(self, spark: SparkSession, name: str = SQL_NAME) -> None:
-        """The same function over Arrow batches, the way to serve a model SQL cannot express."""
-        found, centres = self._parts()
-        low, high = SCALED_RANGE
-        least = np.array([found[c][0] for c in self.columns])
-        span = np.array([found[c][1] - found[c][0] for c in self.columns])
-        flat = span == 0
-        span = np.where(flat, 1.0, span)
-        places = np.array(centres)
-        names = np.array([self.labels[f"cluster_{i}"] for i in range(len(centres))], dtype=object)
-
-        def predict(*inputs: pd.Series) -> pd.Series:
-            raw = np.column_stack([series.astype("float64").to_numpy() for series in inputs])
-            known = ~np.isnan(raw).any(axis=1)
-            unit = (raw - least) / span * (high - low) + low
-            gap = unit[:, None, :] - places[None, :, :]
-            gap[:, :, flat] = 0.0
-            picked = np.full(len(raw), None, dtype=object)
-            picked[known] = names[(gap[known] ** 2).sum(axis=2).argmin(axis=1)]
-            return pd.Series(picked)
-
-        spark.udf.register(name, F.pandas_udf(predict, "string"))
+        """The same over Arrow batches, see :func:`register_segments_vectorised`."""
+        register_segments_vectorised(spark, name, *self._parts(), self.labels)
 
 
 def fit_segments(

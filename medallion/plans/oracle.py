@@ -291,6 +291,8 @@ fresh AS (
         "spend_csv_float": f"{_SPEND} SELECT *, {NO_RESCUE} FROM spend_float",
         "spend_csv_drift": f"""{_SPEND} SELECT *,
             CASE WHEN id % 3 = 0 THEN '{{"channel":"web"}}' END AS _rescued_data FROM spend_float""",
+        "spend_csv_evolved": f"""{_SPEND} SELECT *, {NO_RESCUE},
+            CASE WHEN id % 3 = 0 THEN 'web' END AS channel FROM spend_float""",
         "silver_notebook": f"{_with(USERS, SILVER)} SELECT * FROM silver",
         "silver_declarative": f"{_with(USERS, DECLARED)} SELECT * FROM declared",
         "date_and_pattern": f"""{_USERS} SELECT id, cast({_time('creation_date')} AS date) AS created_on,
@@ -318,6 +320,8 @@ fresh AS (
             UNION ALL SELECT 2, 'restore', d, 0 FROM sizes""",
         "gold_changes": f"""{_GOLD} SELECT *, 0 AS _commit_version, 'insert' AS _change_type FROM gold
             UNION ALL SELECT *, 1, 'delete' FROM gold WHERE {EARLY}""",
+        "gold_change_stream": f"""{_GOLD} SELECT *, 0 AS version, 'insert' AS change FROM gold
+            UNION ALL SELECT *, 1, 'delete' FROM gold WHERE {EARLY}""",
         "gold_merge": f"""{_GOLD}, {merged}
             SELECT {gold_names} FROM gold WHERE id NOT IN (SELECT id FROM newest)
             UNION ALL SELECT {gold_names} FROM newest UNION ALL SELECT {gold_names} FROM fresh""",
@@ -344,6 +348,9 @@ fresh AS (
             CASE cluster WHEN 0 THEN 'small_spenders' WHEN 1 THEN 'medium_spenders'
                          WHEN 2 THEN 'large_spenders' ELSE 'critical_spenders' END AS segment,
             round(distance, 6) AS distance FROM near""",
+        "segment_arrow": f"""{_NEAR} SELECT id,
+            CASE cluster WHEN 0 THEN 'small_spenders' WHEN 1 THEN 'medium_spenders'
+                         WHEN 2 THEN 'large_spenders' ELSE 'critical_spenders' END AS segment FROM near""",
         "segment_stream": f"""{_NEAR} SELECT c.*, {NO_RESCUE}, n.segment FROM checked c JOIN (
             SELECT DISTINCT id, age, annual_income, spending_core, segment FROM (
               SELECT c.id, c.age, c.annual_income, c.spending_core,

@@ -157,6 +157,19 @@ def spend_csv_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retail.load_spend(space, folder, SPEND_FLOAT_HINTS).as_of()
 
 
+def spend_csv_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops into one folder; the column only the second has joins the table."""
+    space = Workspace.create(spark, "spend")
+    folder = f"{space.root}/drop"
+    spend = spend_source(spark, sf_dir)
+    files = file_count(spark, sf_dir, "customer", 2)
+    later = spend.where("id % 3 = 0").withColumn("channel", F.lit("web"))
+    for drop in (spend.where("id % 3 <> 0"), later):
+        drop.repartition(files, "id", "age").write.mode("append").option("header", True).csv(folder)
+        log = retail.load_spend(space, folder, SPEND_FLOAT_HINTS, evolve=True)
+    return log.as_of()
+
+
 # ---- silver ------------------------------------------------------------------
 
 
@@ -294,6 +307,23 @@ def gold_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(changes)
 
 
+def gold_change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A follower copies the changes to a table of its own, one run per commit."""
+    log = ChangeLog(spark, scratch_dir(spark, "gold"))
+    copy = ChangeLog(spark, scratch_dir(spark, "feed"))
+    names = {"_commit_version": "version", "_change_type": "change"}
+
+    def deliver(changes: DataFrame, batch_id: int) -> None:
+        rows = changes.drop("_commit_timestamp").withColumnsRenamed(names)
+        copy.append(rows, "follower", batch_id)
+
+    log.append(_gold_source(spark, sf_dir))
+    log.follow(deliver, f"{copy.path}-checkpoint").awaitTermination()
+    log.delete(CUT_OFF)
+    log.follow(deliver, f"{copy.path}-checkpoint").awaitTermination()
+    return _zoneless(copy.as_of())
+
+
 def _update_set(gold: DataFrame) -> DataFrame:
     """One row per id divisible by seven, with a new score; half of them once more under a new id."""
     touched = gold.where("try_cast(id AS int) % 7 = 0")
@@ -425,6 +455,22 @@ def nearest_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def segment_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed centres as a vectorised function called in SQL."""
+    features = _gold_features(spark, sf_dir).select("id", *segmentation.FEATURES)
+    limits = segmentation.bounds(features, segmentation.FEATURES)
+    names = {f"cluster_{i}": name for i, name in enumerate(segmentation.SEGMENTS)}
+    segmentation.register_segments_vectorised(spark, "arrow_segment", limits, CENTRES, names)
+    features.createOrReplaceTempView("arrow_features")
+    return spark.sql(
+        "SELECT id, arrow_segment(age, annual_income, spending_core) AS segment FROM arrow_features"
+    )
+
+
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(*MEASURES).limit(100)
+
+
 def inertia(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = segmentation.inertia(_assigned(spark, sf_dir))
     return total.select(F.round("inertia", 3).alias("inertia"))
@@ -510,6 +556,7 @@ def queries() -> dict[str, Query]:
         spend_csv_int,
         spend_csv_float,
         spend_csv_drift,
+        spend_csv_evolved,
         silver_notebook,
         silver_declarative,
         date_and_pattern,
@@ -526,10 +573,12 @@ def queries() -> dict[str, Query]:
         gold_clone,
         gold_history,
         gold_changes,
+        gold_change_stream,
         gold_merge,
         gold_update,
         compact_table,
         compact_files,
+        preview,
         table_profile,
         landing_profile,
         frequent_values,
@@ -542,6 +591,7 @@ def queries() -> dict[str, Query]:
         density_surface,
         minmax_scale,
         nearest_centre,
+        segment_arrow,
         inertia,
         cluster_profile,
         distinct_labels,

@@ -91,11 +91,13 @@ def load_spend(
     table: str = "spend_silver",
     cast_id: bool = False,
     max_files: int = 1000,
+    evolve: bool = False,
 ) -> ChangeLog:
     """Run-once CSV ingest into a table with history; columns are inferred, hints type some.
 
     ``cast_id`` casts the key after the read, as the notebook flow does: a key that is
-    no number becomes NULL. A hinted key that is no number is rescued as well.
+    no number becomes NULL. A hinted key that is no number is rescued as well. With
+    ``evolve`` columns that turn up later join the table.
     """
     spark, log = space.spark, space.log(table)
     if not has_files(spark, folder):
@@ -107,7 +109,7 @@ def load_spend(
     def sink(rows: DataFrame, batch_id: int) -> None:
         append(rows.withColumn("id", key_as("id", "int")) if cast_id else rows, batch_id)
 
-    writer = csv_batches(spark, folder, schema, sink, max_files)
+    writer = csv_batches(spark, folder, schema, sink, max_files, remembered if evolve else None)
     writer = writer.option("checkpointLocation", f"{space.root}/checkpoints/{table}")
     finish(writer.trigger(availableNow=True).start())
     return log

@@ -1,4 +1,4 @@
-from medallion.sources.csv_folder import csv_batches, read_csv_files
+from medallion.sources.csv_folder import csv_batches, read_csv_files, read_csv_groups
 from medallion.sources.files import (
     folder_bytes,
     has_files,
@@ -23,6 +23,7 @@ __all__ = [
     "parse_json",
     "query_in_place",
     "read_csv_files",
+    "read_csv_groups",
     "read_or_empty",
     "sized_partitions",
     "track_json_columns",

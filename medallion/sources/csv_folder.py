@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from medallion.functions.casting import soft_cast
 from medallion.sources.json_lines import RESCUED, misfits, rescued_text
+from medallion.sources.schema import SchemaLog
 
 CORRUPT = "_corrupt_record"
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -83,31 +84,36 @@ def is_header_mismatch(error: Exception) -> bool:
     return "CSV header does not conform" in text or "Number of column in CSV header" in text
 
 
-def read_csv_files(
-    spark: SparkSession, paths: list[str], schema: T.StructType, same_header: bool = False
-) -> DataFrame:
-    """The listed files as typed columns by name, plus ``_rescued_data``.
+Groups = list[tuple[list[str], list[str]]]
+
+
+def one_header(spark: SparkSession, paths: list[str]) -> Groups:
+    """The first file's header for all files; the scan has to check it."""
+    return [(spark.read.option("header", True).csv(paths[0]).columns, paths)]
+
+
+def read_csv_groups(spark: SparkSession, groups: Groups, schema: T.StructType, check: bool) -> DataFrame:
+    """Files by header group as typed columns by name, plus ``_rescued_data``.
 
-    ``same_header`` takes the first file's header for all of them and saves the
-    pass that reads the headers; the scan then fails if one of them differs.
+    With ``check`` the scan fails on a file whose header is not its group's.
     """
-    if same_header:
-        groups = [(spark.read.option("header", True).csv(paths[0]).columns, paths)]
-    else:
-        groups = header_groups(spark, paths)
     parts = [
-        _parse_cells(_raw_cells(spark, files, header, same_header), header, schema)
-        for header, files in groups
+        _parse_cells(_raw_cells(spark, files, header, check), header, schema) for header, files in groups
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_csv_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    return read_csv_groups(spark, header_groups(spark, paths), schema, check=False)
+
+
 def csv_batches(
     spark: SparkSession,
     folder: str,
     schema: T.StructType,
     sink: Callable[[DataFrame, int], None],
     max_files: int = 1000,
+    evolve: SchemaLog | None = None,
 ):
     """A stream writer that hands new CSV files to ``sink(rows, batch_id)``.
 
@@ -115,19 +121,28 @@ def csv_batches(
     of them at a time. Files nearly always share one header, so that is tried
     first and checked by the reader; a batch with mixed headers is read again,
     grouped by header. ``sink`` must therefore be idempotent per batch id.
+
+    With ``evolve`` an unseen column joins the remembered schema, as text, and is
+    part of ``rows`` from that batch on; without it its cells are rescued.
     """
 
+    def deliver(session: SparkSession, groups: Groups, check: bool, batch_id: int) -> None:
+        known = schema
+        if evolve is not None:
+            known = evolve.widen([name for header, _ in groups for name in header])
+        sink(read_csv_groups(session, groups, known, check), batch_id)
+
     def load(batch: DataFrame, batch_id: int) -> None:
         paths = sorted(row.path for row in batch.collect())
         if not paths:
             return
         session = batch.sparkSession
         try:
-            sink(read_csv_files(session, paths, schema, same_header=True), batch_id)
+            deliver(session, one_header(session, paths), True, batch_id)
         except Exception as error:
             if not is_header_mismatch(error):
                 raise
-            sink(read_csv_files(session, paths, schema), batch_id)
+            deliver(session, header_groups(session, paths), False, batch_id)
 
     files = (
         spark.readStream.format("binaryFile")

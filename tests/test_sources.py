@@ -11,6 +11,7 @@ from medallion.operators.changelog import ChangeLog
 from medallion.sources import (
     SchemaLog,
     apply_hints,
+    csv_batches,
     folder_bytes,
     has_files,
     infer_schema,
@@ -19,11 +20,12 @@ from medallion.sources import (
     parse_json,
     query_in_place,
     read_csv_files,
+    read_csv_groups,
     read_or_empty,
     sized_partitions,
     track_json_columns,
 )
-from medallion.sources.csv_folder import header_groups
+from medallion.sources.csv_folder import header_groups, one_header
 from medallion.sources.json_lines import json_stream
 from medallion.streaming import Flow, copy_into, run_flow
 
@@ -143,7 +145,7 @@ def test_one_header_is_checked_not_trusted(spark, folder):
     write(f"{folder}/in/b.csv", "age,id,income\n30,2,20\n")
     listed = [row.path for row in list_files(spark, f"{folder}/in").orderBy("path").collect()]
     with pytest.raises(Exception, match="CSV header does not conform"):
-        read_csv_files(spark, listed, SPEND, same_header=True).collect()
+        read_csv_groups(spark, one_header(spark, listed), SPEND, check=True).collect()
 
 
 def test_csv_bulk_load_skips_loaded_files_and_survives_mixed_headers(spark, folder):
@@ -175,3 +177,25 @@ def test_query_in_place(spark, folder):
     write(f"{folder}/in/a.json", '{"id": 1}\n{"id": 2}\n')
     assert query_in_place(spark, f"{folder}/in").limit(1).count() == 1
     assert query_in_place(spark, f"{folder}/in").count() == 2
+
+
+def test_csv_columns_join_the_table_even_in_a_mixed_batch(spark, folder):
+    write(f"{folder}/in/a.csv", "id,age,income\n1,20,10\n")
+    write(f"{folder}/in/b.csv", "channel,age,id,income\nweb,30,2,20\n")
+    log, remembered = ChangeLog(spark, f"{folder}/log"), SchemaLog(spark, f"{folder}/schema")
+    remembered.save(SPEND)
+
+    def run():
+        sink = log.batch_appender("spend")
+        writer = csv_batches(spark, f"{folder}/in", remembered.load(), sink, evolve=remembered)
+        writer = writer.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True)
+        writer.start().awaitTermination()
+
+    run()
+    write(f"{folder}/in/c.csv", "id,region\n3,eu\n")
+    run()
+    assert remembered.load().names == ["id", "age", "income", "channel", "region"]
+    got = {row.id: row for row in log.as_of().collect()}
+    assert (got[1].channel, got[2].channel, got[3].channel) == (None, "web", None)
+    assert (got[2].age, got[3].age, got[3].region) == (30, None, "eu")
+    assert all(row._rescued_data is None for row in got.values())
