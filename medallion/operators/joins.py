@@ -10,12 +10,16 @@ from medallion.functions.casting import soft_cast
 SALT = "_salt"
 
 
-def hot_keys(rows: DataFrame, key: str, share: float = 0.01, look_at: float = 0.01) -> list:
+SEEN_OFTEN = 100
+
+
+def hot_keys(rows: DataFrame, key: str, share: float = 0.001, look_at: float = 0.01) -> list:
     """Keys that hold about ``share`` of the rows or more; at most 1/share of them.
 
     A hint for :func:`spread_join`, which is right whatever it is given. So it may be
     cheap: it looks at a fraction ``look_at`` of one column, with a bounded sketch per
-    task, and unique keys are never shuffled.
+    task, and unique keys are never shuffled. A key seen less than a hundred times is
+    not hot: a table that small needs no spreading.
     """
     known = rows.where(F.col(key).isNotNull())
     if look_at < 1:
@@ -24,7 +28,8 @@ def hot_keys(rows: DataFrame, key: str, share: float = 0.01, look_at: float = 0.
         F.count(F.lit(1)).alias("total"),
         F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {int(10 / share)})").alias("top"),
     ).first()
-    return [entry.item for entry in found.top or [] if entry["count"] >= share * found.total]
+    least = max(share * found.total, SEEN_OFTEN)
+    return [entry.item for entry in found.top or [] if entry["count"] >= least]
 
 
 def spread_join(
@@ -33,18 +38,21 @@ def spread_join(
     keys: list[str],
     how: str,
     hot: list | None = None,
-    salts: int = 64,
+    salts: int | None = None,
     deal: Column | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for inner, left, left_semi and left_anti joins.
 
     Rows of ``left`` with a NULL key match nothing but would all hash to one task,
-    and so would the rows of a hot key. Both are dealt over ``salts`` tasks; the
-    matching ``right`` rows of hot keys, and only those, are repeated per salt.
+    and so would the rows of a hot key. Both are dealt over ``salts`` tasks (by default
+    as many as a shuffle has); the matching ``right`` rows of hot keys, and only those,
+    are repeated per salt.
     ``hot`` lists values of the first key, see :func:`hot_keys`. ``deal`` is a hash
     that tells rows of one key apart; without it the salt is a seeded random number,
     which a retried task repeats only if ``left`` is read straight from files.
     """
+    if salts is None:
+        salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
