@@ -114,7 +114,7 @@ class ChangeLog:
         self,
         version: int,
         operation: str,
-        changes: DataFrame | None,
+        changes: DataFrame,
         columns: T.StructType,
         has_deletes: bool = False,
         writer: str | None = None,
@@ -126,17 +126,16 @@ class ChangeLog:
         commit takes the same version and overwrites it.
         """
         now = datetime.now(timezone.utc)
-        if changes is not None:
-            stamped = changes.withColumn(TIMESTAMP, F.lit(now).cast("timestamp"))
-            fresh = F.col(CHANGE) == "insert"
-            stamped = stamped.withColumns(
-                {
-                    "_row_version": F.when(fresh, F.lit(version)).otherwise(F.col("_row_version")),
-                    "_row_id": F.when(fresh, F.monotonically_increasing_id()).otherwise(F.col("_row_id")),
-                }
-            )
-            rows = stamped.write.mode("overwrite").partitionBy(CHANGE)
-            rows.parquet(f"{self.path}/data/{VERSION}={version}")
+        fresh = F.col(CHANGE) == "insert"
+        stamped = changes.withColumns(
+            {
+                TIMESTAMP: F.lit(now).cast("timestamp"),
+                "_row_version": F.when(fresh, F.lit(version)).otherwise(F.col("_row_version")),
+                "_row_id": F.when(fresh, F.monotonically_increasing_id()).otherwise(F.col("_row_id")),
+            }
+        )
+        rows = stamped.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        rows.partitionBy(CHANGE).parquet(f"{self.path}/data/{VERSION}={version}")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
         row = (version, now, operation, has_deletes, writer, batch_id, ddl)
         commit = literal_rows(self.spark, [row], COMMIT_ROW)
@@ -353,4 +352,5 @@ class ChangeLog:
             cluster_by=cluster_by,
             deal_by=IDENTITY,
         )
-        return self._commit(head.version + 1, "compact", None, _columns(head))
+        nothing = self._inserts(no_rows(self.spark, _columns(head)))
+        return self._commit(head.version + 1, "compact", nothing, _columns(head))

@@ -117,7 +117,12 @@ def test_a_writer_that_died_before_its_commit_row_leaves_nothing(spark, folder):
     assert rows_of(log.as_of()) == [("a", 1)]
     log.append(frame(spark, [("b", 2)]))
     assert rows_of(log.as_of()) == [("a", 1), ("b", 2)]
+    stray.write.partitionBy("_change_type").parquet(f"{folder}/log/data/_commit_version=2")
+    log.compact()
     assert log.history().agg(F.sum("deleted")).first()[0] == 0
+    assert log.changes().where("_change_type = 'delete'").isEmpty()
+    log.restore(1)
+    assert rows_of(log.as_of()) == [("a", 1), ("b", 2)]
 
 
 def test_clones(spark, folder):
