@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import binary, stored
+from medallion.llm.store import binary, mapped, stored
 
 #: Bytes of texts that a task remembers to leave out copies before the shuffle.
 SEEN_BYTES = 64 << 20
@@ -68,7 +68,7 @@ def keyed(docs: DataFrame, key_bits: int = 64) -> DataFrame:
                 [rows, batch.column("doc_id"), pa.array(key.view(np.int64)), sha], ["row", "doc_id", "key", "sha"]
             )
 
-    narrow = docs.select("doc_id", "text").mapInArrow(keys, f"row long, doc_id {kind}, key long, sha binary")
+    narrow = docs.select("doc_id", "text").transform(mapped, keys, f"row long, doc_id {kind}, key long, sha binary")
     return stored(narrow, "exact-keys")
 
 
@@ -126,10 +126,10 @@ def build_index(
     kept = pa.schema([*list(sent)[1:4], ("link", pa.int64()), ("sha", pa.binary()), ("bytes", pa.int64())])
     return stored(
         docs.select("text")
-        .mapInArrow(first_of_task, "owner int, bucket long, depth long, key long, text binary")
+        .transform(mapped, first_of_task, "owner int, bucket long, depth long, key long, text binary")
         .repartitionById(owners, "owner")
         .sortWithinPartitions("key")
-        .mapInArrow(chained, "bucket long, depth long, key long, link long, sha binary, bytes long"),
+        .transform(mapped, chained, "bucket long, depth long, key long, link long, sha binary, bytes long"),
         "exact-index",
     )
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from medallion.llm.store import stored
+from medallion.llm.store import mapped, stored
 from medallion.llm.words import SPACED, U64, mixed, words_of
 
 #: Sources whose totals the driver plans with; more are refused.
@@ -194,7 +194,8 @@ def mix(
 
     narrow = placed.select(F.col("doc.doc_id").alias("doc_id"), *columns)
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(
+    return narrow.transform(
+        mapped,
         take, f"doc_id {kind}, size long, source_size long, target double, taken long, shard_words array<long>"
     )
 
@@ -229,4 +230,4 @@ def mixed_documents(docs: DataFrame, seed: int = 1, **options) -> DataFrame:
 
     names = docs.columns
     flat = placed.select("doc", "size", "before", "blocks", "key", "full", "extra")
-    return flat.mapInArrow(cut, docs.schema)
+    return flat.transform(mapped, cut, docs.schema)

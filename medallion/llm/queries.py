@@ -7,10 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import exact, mixing, reputation
+from medallion.llm import decontaminate, exact, language, mixing, near, reputation, tokens, warc
 from medallion.llm.store import table
 
 
+#: Vocabulary of the token files.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.tokenised(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from three of four documents, by their id; the fourth is held out."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold == 2, F.lit(False)))
+    known = language.train(docs.where(fold != 2))
+    found = language.measured(docs, known, ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -27,5 +58,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from medallion.session import scratch_dir
 
+#: Where the package is; workers look there too. A cluster has it at that place, or gets it by --py-files.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: Bytes of text that one numpy step works on; a longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
 
@@ -22,6 +27,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def mapped(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` by workers that can import this package."""
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
