@@ -55,6 +55,30 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS te
 FROM texts JOIN groups USING (text)
 """
 
+RUNS = """
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, generate_subscripts(parts, 1) AS no, unnest(parts) AS line FROM split),
+windows AS (
+    SELECT * FROM (
+        SELECT doc_id, no, line, lead(line) OVER (PARTITION BY doc_id ORDER BY no) AS next_line,
+               lead(no) OVER (PARTITION BY doc_id ORDER BY no) AS next_no
+        FROM lines)
+    WHERE next_no IS NOT NULL),
+ranked AS (
+    SELECT doc_id, no, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, no) AS place,
+           count(*) OVER (PARTITION BY line, next_line) AS n
+    FROM windows),
+covered AS (
+    SELECT doc_id, no, place FROM ranked WHERE n > 1
+    UNION ALL
+    SELECT doc_id, no + 1, place FROM ranked WHERE n > 1),
+gone AS (SELECT doc_id, no FROM covered GROUP BY doc_id, no HAVING min(place) > 1)
+SELECT l.doc_id, count(*) AS n_lines, count(g.no) AS n_deleted,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.no) FILTER (WHERE g.no IS NULL), '')) AS text_sha256
+FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.no = g.no
+GROUP BY l.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_reputation": URLS, "op8_exact_dedup": EXACT}
+    return {"op7_url_reputation": URLS, "op8_exact_dedup": EXACT, "op10_line_runs": RUNS}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontaminate, exact, language, mixing, near, reputation, tokens, warc
+from medallion.llm import decontaminate, exact, language, lines, mixing, near, passages, reputation, tokens, warc
 from medallion.llm.store import table
 
 
@@ -33,6 +33,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenised(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from three of four documents, by their id; the fourth is held out."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
@@ -70,5 +74,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned, _ = lines.line_dedup(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc.doc_id", "n_lines", "n_deleted", F.sha2("doc.text", 256).alias("text_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
