@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from medallion.llm.store import mapped, slices, stored
+from medallion.llm.store import mapped, numbered, slices, stored
 from medallion.llm.words import LETTERED, U64, Words, grams, words_of
 
 #: Size of the bitmap, as a power of two.
@@ -208,3 +208,11 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = 10, k: int = 5)
             F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"),
         )
     )
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without a word inside a window of an item, all columns as they are."""
+    held = numbered(docs)
+    found = contamination(held.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), items)
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("row"))
+    return held.join(hit, "row", "left_anti").select("doc.*")

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import mapped, slices, stored
+from medallion.llm.store import mapped, numbered, slices, stored
 from medallion.llm.words import SPACED, U64, grams, mixed, words_of
 
 SHINGLE = 5
@@ -221,3 +221,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """Of every component the row with the smallest doc_id (null last), all columns as they are."""
+    held = numbered(docs)
+    found = near_duplicates(held.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")))
+    ids = held.select("row", F.col("doc.doc_id").alias("doc_id"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    placed = found.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row")
+    kept = placed.groupBy("component_id").agg(F.min(order).alias("least")).select("least.row")
+    return held.join(kept, "row", "left_semi").select("doc.*")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.session import scratch_dir
@@ -23,10 +24,16 @@ SLICE_BYTES = 4 << 20
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage and survives lost executors."""
     path = scratch_dir(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` as struct ``doc`` beside a row number that stays, as they are written to the shared folder."""
+    row, doc = F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("doc")
+    return stored(docs.select(row, doc), "numbered")
+
+
 def mapped(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` by workers that can import this package."""
     environment = df.sparkSession.sparkContext.environment
