@@ -35,8 +35,8 @@ hosts AS (
     SELECT host, count(outcome)::DOUBLE AS n, coalesce(sum(outcome), 0)::DOUBLE AS bad,
            regexp_extract(host, '{reputation.DOMAIN}', 1) AS domain, regexp_extract(host, '{reputation.SUFFIX}', 1) AS suffix
     FROM urls LEFT JOIN known USING (page_id) GROUP BY host),
-{_level("suffixes", "root", "suffix", '''SELECT suffix, sum(n) AS n, sum(bad) AS bad,
-    ((SELECT sum(bad) FROM hosts) + 1) / ((SELECT sum(n) FROM hosts) + 2) AS rate FROM hosts GROUP BY suffix''')},
+{_level("suffixes", "root", "suffix", f'''SELECT suffix, sum(n) AS n, sum(bad) AS bad,
+    ((SELECT sum(bad) FROM hosts) + {reputation.ROOT[0]}) / ((SELECT sum(n) FROM hosts) + {reputation.ROOT[1]}) AS rate FROM hosts GROUP BY suffix''')},
 {_level("domains", "suffixes", "domain, suffix", '''SELECT d.*, s.rate FROM
     (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix) d JOIN suffixes s USING (suffix)''')},
 {_level("posterior", "domains", "host", "SELECT h.host, h.n, h.bad, d.rate FROM hosts h JOIN domains d USING (domain, suffix)")}

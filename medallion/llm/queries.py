@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate, exact, language, lines, mixing, near, passages, reputation, tokens, warc
-from medallion.llm.store import table
+from medallion.llm.store import stored, table  # noqa: F401
 
 
 #: Vocabulary of the token files.

@@ -33,6 +33,8 @@ DOMAIN = r"((?:[^.]+\.)?(?:(?:ac|co|com|edu|gov|net|org)\.[a-z]{2}|[^.]+))$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 Z, MAX_BAD = 1.645, 0.3
+#: Outcomes that the rate of all pages starts from: bad ones, all.
+ROOT = (0.1, 1)
 #: Bounds of the correlation of outcomes within a member; prior strength is 1 / correlation - 1.
 RHO = (0.0001, 0.9999)
 
@@ -81,7 +83,7 @@ def reputations(pages: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, float
         "host-outcomes",
     )
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    root = ((total["bad"] or 0.0) + 1) / ((total["n"] or 0.0) + 2)
+    root = ((total["bad"] or 0.0) + ROOT[0]) / ((total["n"] or 0.0) + ROOT[1])
 
     def shrunk(members: DataFrame) -> tuple[DataFrame, float]:
         k = _strength(members)
