@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.compaction import write_sized
+from medallion.operators.joins import hot_keys as frequent_keys
 from medallion.operators.joins import spread_join
-from medallion.session import literal_rows, no_rows
+from medallion.session import literal_rows, no_rows, scratch_dir
+from medallion.sources.json_lines import throttled
 
 VERSION = "_commit_version"
 CHANGE = "_change_type"
@@ -100,6 +102,15 @@ class ChangeLog:
         """The data columns as of ``version``; columns are only ever added."""
         return _columns(self._head(version))
 
+    def _as_known(self, rows: DataFrame, current: T.StructType) -> DataFrame:
+        """``rows`` with column names spelled as the table has them, where Spark takes them for the same."""
+        if self.spark.conf.get("spark.sql.caseSensitive") == "true":
+            return rows
+        known = {name.lower(): name for name in current.names}
+        if len({name.lower() for name in rows.columns}) < len(rows.columns):
+            raise ValueError(f"columns differ in case only: {rows.columns}")
+        return rows.toDF(*[known.get(name.lower(), name) for name in rows.columns])
+
     def _widened(self, current: T.StructType, incoming: T.StructType) -> T.StructType:
         known = {field.name: field.dataType for field in current}
         for field in incoming:
@@ -182,7 +193,11 @@ class ChangeLog:
         if head.last_delete <= head.snapshot:
             return rows
         gone = log.where(F.col(CHANGE) == "delete").select(*IDENTITY)
-        return rows.join(gone, IDENTITY, "left_anti").select(*wanted)
+        # rows of versions that no delete touched need no join; a version per commit, so the list is short
+        touched = [r[0] for r in gone.select("_row_version").distinct().collect()]
+        hit = F.col("_row_version").isin(touched)
+        checked = rows.where(hit).join(gone, IDENTITY, "left_anti").select(*wanted)
+        return rows.where(~hit).unionByName(checked)
 
     def as_of(self, version: int | None = None, timestamp: datetime | None = None) -> DataFrame:
         """The rows at a version or at a point in time; the latest rows by default."""
@@ -222,7 +237,7 @@ class ChangeLog:
             if span[0] is not None:
                 handler(self.changes(span[0], span[1]), batch_id)
 
-        commits = self.spark.readStream.schema(COMMIT_ROW).parquet(f"{self.path}/commits")
+        commits = throttled(self.spark.readStream).schema(COMMIT_ROW).parquet(f"{self.path}/commits")
         writer = commits.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
         return writer.trigger(availableNow=True).start()
 
@@ -252,6 +267,7 @@ class ChangeLog:
         head = self._head(writer=writer, batch_id=batch_id)
         if head.seen is not None:
             return head.seen
+        rows = self._as_known(rows, _columns(head))
         columns = self._widened(_columns(head), rows.schema)
         return self._commit(
             head.version + 1, operation, self._inserts(rows), columns, writer=writer, batch_id=batch_id
@@ -295,23 +311,39 @@ class ChangeLog:
         return self._commit(head.version + 1, "update", both, columns, has_deletes=True)
 
     def merge(self, source: DataFrame, keys: list[str], hot_keys: list | None = None) -> int:
-        """Upsert: rows whose key is in ``source`` give way to the rows of ``source``.
+        """Upsert: every row whose key is in ``source`` takes the columns ``source`` has and keeps its
+        others; the rest of ``source`` is added.
 
-        A key may occur once in ``source``; NULL keys match nothing and are added.
+        A key may occur once in ``source``; NULL keys match nothing and are added. ``source`` is
+        computed once, into the scratch folder. Without ``hot_keys`` they are looked for.
         """
+        head = self._head()
+        source = self._as_known(source, _columns(head))
+        columns = self._widened(_columns(head), source.schema)
+        path = scratch_dir(self.spark, "merge")
+        source.write.parquet(path)
+        source = self.spark.read.schema(source.schema).parquet(path)
         named = source.where(" AND ".join(f"`{key}` IS NOT NULL" for key in keys))
         if not named.groupBy(*keys).count().where("count > 1").isEmpty():
             raise ValueError(f"the merge source repeats a key of {keys}")
-        head = self._head()
-        columns = self._widened(_columns(head), source.schema)
         live = self._live(head)
-        replaced = spread_join(
-            live, named.select(*keys), keys, "left_semi", hot_keys, deal=F.xxhash64(*IDENTITY)
+        hot = frequent_keys(live, keys[0]) if hot_keys is None else hot_keys
+        given = {name: f"_new_{name}" for name in source.columns if name not in keys}
+        matched = spread_join(
+            live, named.withColumnsRenamed(given), keys, "inner", hot, deal=F.xxhash64(*IDENTITY)
         )
-        deletes = replaced.withColumn(CHANGE, F.lit("delete"))
-        inserts = self._inserts(source)
-        both = deletes.unionByName(inserts, allowMissingColumns=True)
-        return self._commit(head.version + 1, "merge", both, columns, has_deletes=True)
+        both = matched.withColumn(CHANGE, F.explode(F.array(F.lit("delete"), F.lit("insert"))))
+        fresh = F.col(CHANGE) == "insert"
+
+        def value(field: T.StructField) -> Column:
+            old = F.col(f"`{field.name}`") if field.name in live.columns else F.lit(None).cast(field.dataType)
+            new = F.col(f"`{given[field.name]}`") if field.name in given else old
+            return F.when(fresh, new).otherwise(old).alias(field.name)
+
+        changed = both.select(*map(value, columns), *IDENTITY, CHANGE)
+        unmatched = spread_join(source, live.select(*keys).distinct(), keys, "left_anti")
+        changes = changed.unionByName(self._inserts(unmatched), allowMissingColumns=True)
+        return self._commit(head.version + 1, "merge", changes, columns, has_deletes=True)
 
     def restore(self, version: int) -> int:
         """Make the rows of ``version`` current again; reads only the log after it."""
@@ -332,6 +364,10 @@ class ChangeLog:
         copy.append(self.as_of(version), operation="clone")
         return copy
 
+    def as_view(self, name: str) -> DataFrame:
+        """The latest rows under a name of SQL; call it again after a commit."""
+        return self.shallow_clone(name)
+
     def shallow_clone(self, view: str, version: int | None = None) -> DataFrame:
         """Shallow clone: a view over the rows of ``version``, no data copied."""
         rows = self.as_of(version)
@@ -344,10 +380,14 @@ class ChangeLog:
         Rows keep their identity, and older versions stay readable.
         """
         head = self._head()
+        rows = self._live(head)
+        logged = self._log(T.StructType([]), -1, head.version)
+        share = rows.select(*IDENTITY).count() / max(1, logged.count())
         write_sized(
-            self._live(head),
+            rows,
             f"{self.path}/snapshots/_snapshot_version={head.version + 1}",
             source=f"{self.path}/data",
+            share=share,
             target_bytes=target_bytes,
             cluster_by=cluster_by,
             deal_by=IDENTITY,

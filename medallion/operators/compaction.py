@@ -17,16 +17,18 @@ def write_sized(
     target_bytes: int | None = None,
     cluster_by: list[str] | None = None,
     deal_by: list[str] | None = None,
+    share: float = 1.0,
 ) -> int:
     """Write ``rows`` to ``path`` in files of about ``target_bytes``; returns the file count aimed at.
 
-    The count comes from the bytes below ``source``, which ``rows`` were read from.
+    The count comes from the bytes below ``source``, which ``rows`` were read from, and the
+    ``share`` of its rows that they are.
     With ``cluster_by`` rows are ranged and sorted on those columns, so that row-group
     statistics let later filters skip files. Equal values fall into one range, so a
     hash of ``deal_by`` (columns unique per row; by default a row number taken at the
     scan) comes last in the range key and splits a value that fills many files.
     """
-    size = folder_bytes(rows.sparkSession, source)
+    size = int(folder_bytes(rows.sparkSession, source) * share)
     files = sized_partitions(size, target_bytes or TARGET_FILE_BYTES)
     unique = [F.col(name) for name in deal_by] if deal_by else [F.monotonically_increasing_id()]
     dealt = rows.withColumn(DEAL, F.xxhash64(*unique))

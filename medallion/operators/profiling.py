@@ -10,6 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def known(name: str) -> Column:
+    """A column as double, NaN as NULL: it is no place on an axis."""
+    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+
+
+def _ordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_ordered(field.dataType) for field in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _named(name: str, measures: dict[str, Column]) -> Column:
     return F.struct(F.lit(name).alias("column"), *[m.alias(label) for label, m in measures.items()])
 
@@ -18,7 +31,7 @@ def exact_profile(rows: DataFrame) -> DataFrame:
     """Per column: rows, nulls, mean, deviation, minimum and maximum.
 
     Minimum and maximum are text; mean and deviation are NULL for columns that are
-    not numbers. The extremes of text keep an aggregate from being compiled, so such
+    not numbers, extremes NULL for maps and what holds them. The extremes of text keep an aggregate from being compiled, so such
     columns have one of their own; each column is still read once.
     """
     sized = [f for f in rows.schema if not isinstance(f.dataType, (T.StringType, T.BinaryType))]
@@ -34,10 +47,11 @@ def _exact(rows: DataFrame, fields: list[T.StructField]) -> DataFrame:
     for i, field in enumerate(fields):
         column = F.col(f"`{field.name}`")
         numeric = isinstance(field.dataType, T.NumericType)
+        extreme = column if _ordered(field.dataType) else F.lit(None).cast("string")
         measures += [
             F.count(column).alias(f"filled_{i}"),
-            F.min(column).alias(f"low_{i}"),
-            F.max(column).alias(f"high_{i}"),
+            F.min(extreme).alias(f"low_{i}"),
+            F.max(extreme).alias(f"high_{i}"),
         ]
         if numeric:
             measures += [F.avg(column).alias(f"mean_{i}"), F.stddev(column).alias(f"deviation_{i}")]
@@ -59,7 +73,9 @@ def sketch_profile(rows: DataFrame, quantiles: tuple[float, ...] = (0.25, 0.5, 0
     measures, entries = [], []
     for i, field in enumerate(rows.schema):
         column = F.col(f"`{field.name}`")
-        measures.append(F.approx_count_distinct(column).alias(f"distinct_{i}"))
+        counted = column if _ordered(field.dataType) else F.to_json(F.struct(column))
+        counted = F.when(column.isNotNull(), counted)
+        measures.append(F.approx_count_distinct(counted).alias(f"distinct_{i}"))
         cuts = F.lit(None).cast("array<double>")
         if isinstance(field.dataType, T.NumericType):
             measures.append(F.kll_sketch_agg_double(column.cast("double")).alias(f"sketch_{i}"))
@@ -124,7 +140,7 @@ class Grid:
     def __init__(self, rows: DataFrame, columns: list[str], bins: int):
         measures = []
         for name in columns:
-            measures += [F.min(name), F.max(name), F.stddev(name), F.count(name)]
+            measures += [f(known(name)) for f in (F.min, F.max, F.stddev, F.count)]
         found = rows.agg(*measures).first()
         self.bins = bins
         self.columns, self.low, self.width, self.bandwidth = [], {}, {}, {}
@@ -140,8 +156,8 @@ class Grid:
             self.bandwidth[name] = (sigma * count ** (-1 / 5), sigma * count ** (-1 / 6))
 
     def bin_of(self, name: str) -> Column:
-        """0-based bin, NULL for NULL; the highest value belongs to the last one."""
-        offset = F.floor((F.col(name).cast("double") - self.low[name]) / self.width[name])
+        """0-based bin, NULL for NULL and NaN; the highest value belongs to the last one."""
+        offset = F.floor((known(name) - self.low[name]) / self.width[name])
         last = F.lit(self.bins - 1)
         return F.when(offset.isNotNull(), F.least(offset, last)).cast("int")
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.cleaning import label_for
+from medallion.operators.profiling import known
 from medallion.session import literal_rows, scratch_dir
 
 # The model's inputs, its segment names from the lowest spending up,
@@ -36,8 +37,8 @@ SWEEP = (
 
 
 def bounds(rows: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """(min, max) per column: one aggregate, one row to the driver."""
-    found = rows.agg(*[f(F.col(c).cast("double")) for c in columns for f in (F.min, F.max)]).first()
+    """(min, max) per column, NaN left out: one aggregate, one row to the driver."""
+    found = rows.agg(*[f(known(c)) for c in columns for f in (F.min, F.max)]).first()
     return {c: (found[2 * i], found[2 * i + 1]) for i, c in enumerate(columns)}
 
 

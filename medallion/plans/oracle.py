@@ -156,13 +156,30 @@ def _rules() -> str:
 
 
 def _profile() -> str:
+    def part(c: str) -> str:
+        number = c in (*MEASURES, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+        low, high = f"cast(min({c}) AS double)", f"cast(max({c}) AS double)"
+        text = f"cast(NULL AS varchar) AS min_text, cast(NULL AS varchar) AS max_text, true AS distinct_close, true AS median_close"
+        if number:
+            values = f"round(avg({c}), 6) AS mean, round(stddev({c}), 6) AS stddev, {low} AS min, {high} AS max, {text}"
+        else:
+            nothing = ", ".join(f"cast(NULL AS double) AS {name}" for name in ("mean", "stddev", "min", "max"))
+            values = f"""{nothing}, left(cast(min({c}) AS varchar), 10) AS min_text,
+                left(cast(max({c}) AS varchar), 10) AS max_text, true AS distinct_close, cast(NULL AS boolean) AS median_close"""
+        return f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, {values} FROM lineitem"""
+
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    return "\nUNION ALL\n".join(part(c) for c in [*keys, *MEASURES, "l_returnflag", "l_linestatus", "l_shipdate"])
+
+
+def _landing_profile() -> str:
+    columns = [name.strip() for name in RAW_NAMES.split(",")] + ["loyalty"]
     parts = [
-        f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
-        f"round(avg({c}), 6) AS mean, round(stddev({c}), 6) AS stddev, "
-        f"cast(min({c}) AS double) AS min, cast(max({c}) AS double) AS max FROM lineitem"
-        for c in [*MEASURES, "l_orderkey", "l_linenumber"]
+        f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+            min({c}) AS min, max({c}) AS max, true AS distinct_close FROM users_src"""
+        for c in columns
     ]
-    return "\nUNION ALL\n".join(parts)
+    return _USERS + "\nUNION ALL\n".join(parts)
 
 
 def _frequent() -> str:
@@ -270,6 +287,8 @@ def oracle_sql() -> dict[str, str]:
     silver_names = ", ".join(f"s.{name}" for name in names[1:])
     features = "age, annual_income, spending_core"
     gold_names = f"{RAW_NAMES}, {features}"
+    others = [name.strip() for name in gold_names.split(",") if name.strip() != "address"]
+    no_address, from_given = ", ".join(others), ", ".join(f"n.{name}" for name in others)
     merged = f"""
 touched AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY spending_core DESC, age DESC NULLS LAST) AS rn
@@ -322,9 +341,26 @@ fresh AS (
             UNION ALL SELECT *, 1, 'delete' FROM gold WHERE {EARLY}""",
         "gold_change_stream": f"""{_GOLD} SELECT *, 0 AS version, 'insert' AS change FROM gold
             UNION ALL SELECT *, 1, 'delete' FROM gold WHERE {EARLY}""",
-        "gold_merge": f"""{_GOLD}, {merged}
-            SELECT {gold_names} FROM gold WHERE id NOT IN (SELECT id FROM newest)
-            UNION ALL SELECT {gold_names} FROM newest UNION ALL SELECT {gold_names} FROM fresh""",
+        "gold_merge": f"""{_GOLD}, {merged},
+            given AS (SELECT {no_address} FROM newest UNION ALL SELECT {no_address} FROM fresh)
+            SELECT g.address, {from_given} FROM gold g JOIN given n ON g.id = n.id
+            UNION ALL SELECT address, {no_address} FROM gold g
+                WHERE NOT EXISTS (SELECT 1 FROM given n WHERE n.id = g.id)
+            UNION ALL SELECT NULL, {no_address} FROM given n
+                WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE n.id = g.id)""",
+        "gold_by_name": f"{_GOLD} SELECT * FROM gold WHERE NOT {EARLY}",
+        "late_files": f"{_USERS} SELECT * FROM users_src",
+        "landing_inventory": """SELECT 'users' AS folder, true AS has_bytes, true AS all_files
+            UNION ALL SELECT 'spend', true, true UNION ALL SELECT 'absent', false, true""",
+        "landing_profile": _landing_profile(),
+        "sample_rand": "SELECT count(*) AS draws, true AS in_range, true AS mean_in_bounds FROM customer",
+        "preview": """SELECT least(100, count(*)) AS shown, least(100, count(*)) AS members FROM lineitem""",
+        "elbow_sweep": """SELECT cast(k AS int) AS k, true AS falls, 'FINISHED' AS status
+            FROM (SELECT unnest([2, 3, 4, 5, 6, 7, 8, 9]) AS k)""",
+        "segment_kmeans": f"""{_DECLARED} SELECT id, age, annual_income, spending_core, true AS nearest
+            FROM checked""",
+        "labelled_points": f"{_DECLARED} SELECT age, annual_income, spending_core, true AS nearest FROM checked",
+        "classify_search": """SELECT 'quality' AS name, true AS known_family, true AS is_best, true AS reused""",
         "gold_update": f"""{_GOLD} SELECT {RAW_NAMES.replace('city, ', '')},
             CASE WHEN {EARLY} THEN 'archived' ELSE city END AS city, age, annual_income,
             CASE WHEN {EARLY} THEN spending_core + 1 ELSE spending_core END AS spending_core FROM gold""",

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from medallion.functions.cleaning import (
     clean_users,
@@ -38,12 +39,12 @@ from medallion.plans.retail import (
     Workspace,
 )
 from medallion.session import literal_rows, scratch_dir
-from medallion.sources.files import list_files, query_in_place, read_or_empty
+from medallion.sources.files import backdate, list_files, query_in_place, read_or_empty
 from medallion.sources.json_lines import RESCUED
 from medallion.sources.schema import SchemaLog, track_json_columns
 from medallion.streaming.bulk import copy_into
 from medallion.streaming.flows import append_to_table, run_flow
-from medallion.streaming.rules import kept_rows
+from medallion.streaming.rules import kept_metrics, kept_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +78,24 @@ def bronze_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of users into one folder; the files of the second carry the times of a month ago."""
+    space = Workspace.create(spark, "late")
+    folder, name = f"{space.root}/drop", space.name("user_bronze")
+    files = file_count(spark, sf_dir, "customer", 4)
+    users = users_source(spark, sf_dir)
+    flow = retail.bronze_flow(name, folder, T.StructType.fromDDL(f"{USERS_TEXT_ID}, loyalty STRING"))
+    seen: set[str] = set()
+    for drop in (users.where("length(id) % 2 = 0"), users.where("length(id) % 2 = 1")):
+        drop.repartition(files, "address").write.mode("append").json(folder)
+        paths = {row.path for row in list_files(spark, folder).select("path").collect()}
+        if seen:
+            backdate(spark, sorted(paths - seen), days=30)
+        seen = paths
+        run_flow(spark, flow, space.root)
+    return spark.table(name).drop(RESCUED)
+
+
 def bronze_json_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops into one folder; only the second has the column ``loyalty``."""
     space = Workspace.create(spark, "evolved")
@@ -123,8 +142,15 @@ def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, lambda: spark.read.json(f"{source.users}-absent"), T.StructType.fromDDL("id STRING")
     )
     parts.append(absent.agg(F.count("*").alias("files"), F.sum(F.length("id")).alias("bytes")))
-    names = ["users", "spend", "absent"]
-    named = [part.select(F.lit(name).alias("folder"), "*") for name, part in zip(names, parts)]
+    names = {"users": source.user_files, "spend": source.spend_files, "absent": 0}
+    named = [
+        part.select(
+            F.lit(name).alias("folder"),
+            F.coalesce(F.col("bytes") > 0, F.lit(False)).alias("has_bytes"),
+            (F.col("files") == written).alias("all_files"),
+        )
+        for (name, written), part in zip(names.items(), parts)
+    ]
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
@@ -210,8 +236,13 @@ def date_and_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_rand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    draws = table(spark, sf_dir, "customer").select("c_custkey", F.rand(seed=42).alias("draw"))
-    return draws.where("draw < 0.1")
+    """A draw for every customer: how many, and whether they look uniform."""
+    draws = table(spark, sf_dir, "customer").select(F.rand(seed=42).alias("draw"))
+    return draws.agg(
+        F.count("*").alias("draws"),
+        ((F.min("draw") >= 0) & (F.max("draw") < 1)).alias("in_range"),
+        (F.abs(F.avg("draw") - 0.5) < 0.1).alias("mean_in_bounds"),
+    )
 
 
 # ---- gold --------------------------------------------------------------------
@@ -236,7 +267,9 @@ def gold_declarative(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace.create(spark, "quality")
     _, metrics = retail.declarative_pipeline(space, landing(spark, sf_dir))
-    append_to_table(spark, metrics, space.name("quality_metrics"))
+    kept = kept_metrics(spark, space.root)
+    counted = metrics.join(kept.select("flow").distinct(), "flow", "left_anti")  # the spend table's, counted as a batch
+    append_to_table(spark, kept.unionByName(counted), space.name("quality_metrics"))
     totals = spark.table(space.name("quality_metrics")).groupBy("flow", "rule")
     return totals.agg(*[F.sum(c).alias(c) for c in ("passed", "failed", "dropped")])
 
@@ -325,10 +358,10 @@ def gold_change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _update_set(gold: DataFrame) -> DataFrame:
-    """One row per id divisible by seven, with a new score; half of them once more under a new id."""
+    """One row per id divisible by seven, with a new score and no address; half of them once more under a new id."""
     touched = gold.where("try_cast(id AS int) % 7 = 0")
     newest = ranking.latest_by(touched, "id", "spending_core", "age")
-    newest = newest.withColumn("spending_core", F.lit(100))
+    newest = newest.withColumn("spending_core", F.lit(100)).drop("address")
     unmatched = newest.where("try_cast(id AS int) % 2 = 0")
     return newest.unionByName(unmatched.withColumn("id", F.concat(F.lit("new-"), "id")))
 
@@ -339,6 +372,12 @@ def gold_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(log.as_of())
 
 
+def gold_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table with history, after a delete, as SQL sees it."""
+    _gold_log(spark, sf_dir).as_view("user_gold_latest")
+    return _zoneless(spark.sql("SELECT * FROM user_gold_latest"))
+
+
 def gold_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _gold_log(spark, sf_dir, delete=False)
     log.update(CUT_OFF, {"city": F.lit("archived"), "spending_core": F.col("spending_core") + 1})
@@ -364,22 +403,49 @@ def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(*MEASURES, "l_orderkey", "l_linenumber")
-    profile = profiling.table_profile(rows)
-    return profile.select(
+    """All columns of lineitem; sketches are judged against exact counts of the same rows."""
+    rows = table(spark, sf_dir, "lineitem")
+    return _profile_checked(rows).select(
         "column",
         "rows",
         "nulls",
         F.round("mean", 6).alias("mean"),
         F.round("stddev", 6).alias("stddev"),
-        F.col("min").cast("double").alias("min"),
-        F.col("max").cast("double").alias("max"),
+        F.expr("try_cast(min AS double)").alias("min"),
+        F.expr("try_cast(max AS double)").alias("max"),
+        F.when(F.expr("try_cast(min AS double) IS NULL"), F.substring("min", 1, 10)).alias("min_text"),
+        F.when(F.expr("try_cast(max AS double) IS NULL"), F.substring("max", 1, 10)).alias("max_text"),
+        "distinct_close",
+        "median_close",
+    )
+
+
+def _profile_checked(rows: DataFrame) -> DataFrame:
+    """The profile, and whether the sketches are within 10 % of the distinct count and 5 % of the ranks of the median."""
+    profile = profiling.table_profile(rows)
+    numbers = [f.name for f in rows.schema if isinstance(f.dataType, T.NumericType)]
+    medians = {r["column"]: r["quantiles"][1] for r in profile.where("quantiles IS NOT NULL").select("column", "quantiles").collect()}
+    measures = []
+    for name in rows.columns:
+        below, least = F.lit(None).cast("double"), F.lit(None).cast("double")
+        if name in numbers and name in medians:
+            below, least = F.avg((F.col(name) <= medians[name]).cast("double")), F.avg((F.col(name) < medians[name]).cast("double"))
+        measures += [F.count_distinct(name).alias(f"n_{name}"), below.alias(f"b_{name}"), least.alias(f"l_{name}")]
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.col(f"n_{c}").alias("n"), F.col(f"b_{c}").alias("b"), F.col(f"l_{c}").alias("l"))
+        for c in rows.columns
+    ]
+    exact = rows.agg(*measures).select(F.inline(F.array(*entries)))
+    close = F.abs(F.col("approx_distinct") - F.col("n")) <= F.greatest(F.lit(1), 0.1 * F.col("n"))
+    return profile.join(exact, "column").withColumns(
+        {"distinct_close": close, "median_close": (F.col("b") >= 0.45) & (F.col("l") <= 0.55)}
     )
 
 
 def landing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile of the raw users, sketches included."""
-    return profiling.table_profile(query_in_place(spark, landing(spark, sf_dir).users))
+    rows = query_in_place(spark, landing(spark, sf_dir).users)
+    return _profile_checked(rows).select("column", "rows", "nulls", "min", "max", "distinct_close")
 
 
 def frequent_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,7 +534,12 @@ def segment_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(*MEASURES).limit(100)
+    """The first hundred rows, and how many of them the table has."""
+    rows = table(spark, sf_dir, "lineitem")
+    key = ["l_orderkey", "l_linenumber"]
+    some = rows.select(*key, *MEASURES).limit(100)
+    members = some.join(rows.select(*key).distinct(), key, "left_semi")
+    return some.agg(F.count("*").alias("shown")).join(members.agg(F.count("*").alias("members")), F.lit(True))
 
 
 def inertia(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,11 +557,14 @@ def distinct_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elbow_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segmentation.elbow(_gold_features(spark, sf_dir))
+    """A fit per k; inertia falls, but for what a local minimum costs."""
+    runs = segmentation.elbow(_gold_features(spark, sf_dir))
+    last = F.lag("inertia").over(Window.orderBy("k"))  # a row per k
+    return runs.select("k", F.coalesce(F.col("inertia") < 1.05 * last, F.col("inertia") > 0).alias("falls"), "status")
 
 
 def latest_sweep_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = segmentation.elbow(_gold_features(spark, sf_dir), ks=range(2, 5))
+    runs = segmentation.elbow(_gold_features(spark, sf_dir))
     finished = (F.col("status") == "FINISHED") & (F.col("tag") == segmentation.RUN_TAG)
     return ranking.latest_for(runs, finished, "finished_at")
 
@@ -503,10 +577,25 @@ def segment_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = segmentation.SegmentModel.load(path)
     model.register_sql(spark)
     model.check_input(features).createOrReplaceTempView("user_gold_features")
-    return spark.sql(
+    scored = spark.sql(
         "SELECT id, age, annual_income, spending_core, "
         f"{segmentation.SQL_NAME}(age, annual_income, spending_core) AS segment FROM user_gold_features"
     )
+    checked = _nearest(scored, model).withColumn("age", F.col("age").cast("int"))
+    return checked.select("id", *segmentation.FEATURES, "nearest")
+
+
+def _nearest(scored: DataFrame, model: segmentation.SegmentModel) -> DataFrame:
+    """Whether each row's segment is that of the centre nearest to its scaled features, worked out anew."""
+    scaler, means = model.pipeline.stages[1:]
+    pairs = list(zip(segmentation.FEATURES, scaler.originalMin.toArray(), scaler.originalMax.toArray()))
+    low, high = segmentation.SCALED_RANGE
+    axes = [(F.col(c).cast("double") - float(a)) / (float(b) - float(a)) * (high - low) + low for c, a, b in pairs]
+    choices = []
+    for i, centre in enumerate(means.clusterCenters()):
+        distance = sum(((x - float(v)) * (x - float(v)) for x, v in zip(axes, centre)), F.lit(0.0))
+        choices.append(F.struct(distance.alias("d"), F.lit(model.labels[f"cluster_{i}"]).alias("label")))
+    return scored.withColumn("nearest", F.col("segment") == F.array_min(F.array(*choices))["label"])
 
 
 def segment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -524,7 +613,8 @@ def segment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = _gold_features(spark, sf_dir)
-    return segmentation.labelled_points(segmentation.fit_segments(features), features)
+    model = segmentation.fit_segments(features)
+    return _nearest(segmentation.labelled_points(model, features), model).drop("segment")
 
 
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -539,16 +629,27 @@ def classify_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "labels").join(documents, "doc_id")
     runs = RunTable(ChangeLog(spark, scratch_dir(spark, "runs")))
 
-    def search() -> DataFrame:
-        return search_classifier(rows, "quality", ["n_chars"], ["lang", "source"], folds=2)
+    calls = []
 
-    runs.get_or_search("quality", search)
-    return runs.get_or_search("quality", search)
+    def search() -> DataFrame:
+        calls.append(search_classifier(rows, "quality", ["n_chars"], ["lang", "source"]))
+        return calls[-1]
+
+    first = runs.get_or_search("quality", search).first()
+    again = runs.get_or_search("quality", search)
+    best = calls[0].agg(F.max("f1")).first()[0]
+    return again.select(
+        "name",
+        F.col("family").isin("logistic_regression", "random_forest").alias("known_family"),
+        (F.col("f1") == F.lit(str(best))).alias("is_best"),
+        (F.lit(len(calls) == 1) & (F.col("best_trial_run_id") == first["best_trial_run_id"])).alias("reused"),
+    )
 
 
 def queries() -> dict[str, Query]:
     listed = [
         bronze_json_stream,
+        late_files,
         bronze_json_evolved,
         copy_into_twice,
         json_in_place,
@@ -575,6 +676,7 @@ def queries() -> dict[str, Query]:
         gold_changes,
         gold_change_stream,
         gold_merge,
+        gold_by_name,
         gold_update,
         compact_table,
         compact_files,

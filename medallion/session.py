@@ -50,8 +50,6 @@ def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     schema = T.StructType.fromDDL(ddl)
     if not rows:
         return no_rows(spark, schema)
-    if len(rows) > 500:
-        return spark.createDataFrame(rows, schema)
     structs = [
         F.struct(*[F.lit(cell).cast(field.dataType).alias(field.name) for field, cell in zip(schema, row)])
         for row in rows

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.casting import soft_cast
-from medallion.sources.json_lines import RESCUED, misfits, rescued_text
+from medallion.sources.json_lines import RESCUED, misfits, rescued_text, throttled
 from medallion.sources.schema import SchemaLog
 
 CORRUPT = "_corrupt_record"
@@ -145,10 +145,10 @@ def csv_batches(
             deliver(session, header_groups(session, paths), False, batch_id)
 
     files = (
-        spark.readStream.format("binaryFile")
+        throttled(spark.readStream, max_files)
+        .format("binaryFile")
         .schema(BINARY_FILE)
         .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files)
         .load(folder)
         .select("path")
     )

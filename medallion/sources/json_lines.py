@@ -10,6 +10,9 @@ from medallion.functions.casting import soft_cast
 from medallion.functions.cleaning import RESCUED
 
 BATCH_BYTES = 1 << 40
+#: A file source skips files this much older than the newest one it saw. Spark's default of a week
+#: loses what is moved or copied in with its old time, so nothing is too old here.
+MAX_AGE = "36500d"
 
 
 def as_map(value: str | Column) -> Column:
@@ -39,7 +42,9 @@ def rescued_text(cells: str) -> Column:
     return F.when(F.size(cells) > 0, F.to_json(cells))
 
 
-def throttled(reader, max_files: int | None = None):
+def throttled(reader, max_files: int | None = None, max_age: str = MAX_AGE):
+    """A stream reader with limited micro-batches that takes files of any age up to ``max_age``."""
+    reader = reader.option("maxFileAge", max_age)
     if max_files:
         return reader.option("maxFilesPerTrigger", max_files)
     return reader.option("maxBytesPerTrigger", BATCH_BYTES)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from medallion.session import literal_rows
 from medallion.sources.files import list_files
-from medallion.sources.json_lines import as_map, json_lines
+from medallion.sources.json_lines import as_map, json_lines, throttled
 
 
 def _all_strings(names: list[str]) -> T.StructType:
@@ -99,18 +99,24 @@ class SchemaLog:
         return schema
 
 
-def track_json_columns(spark: SparkSession, folder: str, log: SchemaLog, checkpoint: str) -> T.StructType:
+def track_json_columns(
+    spark: SparkSession, folder: str, log: SchemaLog, checkpoint: str, max_columns: int = 1000
+) -> T.StructType:
     """Widen the remembered schema with the columns of files that arrived since the last call.
 
     The checkpoint of this stream decides which files are new, so each file is
-    looked at once. What reaches the driver is the set of distinct column names.
+    looked at once. What reaches the driver is the set of distinct column names; a schema
+    that would grow past ``max_columns`` fails.
     """
 
     def note_columns(batch: DataFrame, batch_id: int) -> None:
         keys = batch.select(F.explode(F.map_keys("m")).alias("name")).distinct()
-        log.widen([row.name for row in keys.collect()])
+        names = [row.name for row in keys.limit(max_columns + 1).collect()]
+        if len(set(names) | set((log.load() or T.StructType([])).names)) > max_columns:
+            raise ValueError(f"{folder} has more than {max_columns} column names; keys that are data belong in a map")
+        log.widen(names)
 
-    lines = json_lines(spark.readStream, folder).select(as_map("value").alias("m"))
+    lines = json_lines(throttled(spark.readStream), folder).select(as_map("value").alias("m"))
     writer = lines.writeStream.foreachBatch(note_columns).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
     return log.load() or T.StructType([])

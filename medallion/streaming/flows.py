@@ -17,7 +17,7 @@ from medallion.session import literal_rows
 from medallion.sources.files import list_files
 from medallion.sources.json_lines import throttled
 from medallion.streaming.control import finish
-from medallion.streaming.rules import METRICS, Rule, apply_rules, rule_metrics
+from medallion.streaming.rules import METRICS, Rule, apply_rules, keep_metrics, rule_metrics
 
 
 @dataclass
@@ -95,8 +95,13 @@ def start_flow(spark: SparkSession, flow: Flow, root: str, once: bool = False) -
 
 
 def run_flow(spark: SparkSession, flow: Flow, root: str) -> DataFrame:
-    """Take in everything new, then stop; returns the rule counters of this run."""
-    progress = finish(start_flow(spark, flow, root, once=True))
+    """Take in everything new, then stop; returns the rule counters of this run.
+
+    Each micro-batch's counters are also kept below ``root`` as it ends, see
+    :func:`~medallion.streaming.rules.kept_metrics`; a batch that failed adds nothing.
+    """
+    keep = lambda progress: keep_metrics(spark, root, flow.label, flow.rules, progress)
+    progress = finish(start_flow(spark, flow, root, once=True), keep=keep)
     return rule_metrics(spark, flow.label, flow.rules, progress)
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.session import literal_rows
 
 METRICS = "flow string, rule string, batch_id bigint, passed bigint, failed bigint, dropped bigint"
+METRIC_NAMES = ["flow", "rule", "batch_id", "passed", "failed", "dropped"]
 
 
 @dataclass(frozen=True)
@@ -73,6 +75,29 @@ def rule_metrics(
     return literal_rows(spark, rows, METRICS)
 
 
+def metrics_path(root: str) -> str:
+    return f"{root}/quality_metrics"
+
+
+def keep_metrics(spark: SparkSession, root: str, flow: str, rules: list[Rule], progress: dict) -> None:
+    """Write the counters of a micro-batch below ``root``; a repeated batch replaces its own."""
+    rows = rule_metrics(spark, flow, rules, [progress])
+    if rules and flow in progress["observedMetrics"]:
+        folder = f"{metrics_path(root)}/of_flow={flow}/of_batch={progress['batchId']}"
+        rows.write.mode("overwrite").parquet(folder)
+
+
+def kept_metrics(spark: SparkSession, root: str, flow: str | None = None) -> DataFrame:
+    """All counters kept below ``root``, once per flow, rule and micro-batch, across runs that failed."""
+    try:
+        rows = spark.read.schema(METRICS).parquet(metrics_path(root)).select(*METRIC_NAMES)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return literal_rows(spark, [], METRICS)
+    return rows if flow is None else rows.where(F.col("flow") == flow)
+
+
 def rule_counts(rows: DataFrame, flow: str, rules: list[Rule]) -> DataFrame:
     """The same table for a batch, one aggregate over ``rows``; batch_id is NULL."""
     counts = rows.agg(*_counters(rules))

@@ -123,3 +123,26 @@ def test_a_failed_flow_raises_and_can_be_resumed(spark, database, folder):
         run_flow(spark, broken, folder)
     run_flow(spark, Flow(name, lambda s: new_rows(s, f"{database}.feed")), folder)
     assert spark.table(name).count() == 4
+
+
+def test_counters_of_a_failed_run_are_kept(spark, database, folder):
+    from medallion.streaming.rules import kept_metrics
+
+    for i in range(3):
+        spark.createDataFrame([(None if i != 1 else 3,)], "v int").coalesce(1).write.mode("append").json(f"{folder}/in")
+        time.sleep(1.1)
+    broken = f"{folder}/broken"
+    os.makedirs(broken)
+
+    def build(session):
+        stop = F.udf(lambda v: 1 / 0 if v == 3 and os.path.exists(broken) else v, "int")
+        rows = session.readStream.schema("v int").option("maxFilesPerTrigger", 1).json(f"{folder}/in")
+        return rows.withColumn("v", stop("v"))
+
+    flow = Flow(f"{database}.checked", build, [Rule("has_v", "v IS NOT NULL")])
+    with pytest.raises(Exception):
+        run_flow(spark, flow, folder)
+    os.rename(broken, f"{folder}/mended")
+    run_flow(spark, flow, folder)
+    kept = kept_metrics(spark, folder, "checked")
+    assert rows_of(kept.selectExpr("count(DISTINCT batch_id)", "count(*)", "sum(failed)", "sum(passed)")) == [(3, 3, 2, 1)]

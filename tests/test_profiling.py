@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from conftest import rows_of
 
-from medallion.operators import compact_folder
+from medallion.operators import compact_folder, profiling
 from medallion.operators.profiling import (
     density,
     frequent_values,
@@ -119,3 +119,12 @@ def test_pairs_cover_all_columns(points):
     wide = df.selectExpr("a", "b", "a * b AS d")
     got = {(r.x, r.y) for r in pair_regression(wide, ["a", "b", "d"]).collect()}
     assert got == set(combinations("abd", 2))
+
+
+def test_nan_and_maps(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1.0D, map('a', 1)), (3.0D, NULL), (double('NaN'), map('a', 1)), (NULL, NULL) AS t(x, m)")
+    bins = {r["bin"]: r["c"] for r in profiling.histograms(rows, ["x"], bins=2).collect()}
+    assert bins == {0: 1, 1: 1}
+    assert all(r["density"] == r["density"] for r in profiling.density(rows, ["x"]).collect())
+    found = {r["column"]: r for r in profiling.table_profile(rows).collect()}
+    assert found["m"]["min"] is None and found["m"]["nulls"] == 2 and found["m"]["approx_distinct"] == 1
