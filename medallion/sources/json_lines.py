@@ -15,8 +15,17 @@ BATCH_BYTES = 1 << 40
 MAX_AGE = "36500d"
 
 
-def as_map(value: str | Column) -> Column:
-    return F.from_json(value, T.MapType(T.StringType(), T.StringType()))
+def as_map(value: str) -> Column:
+    """The cells of a line that is one JSON object and nothing else, NULL for any other line.
+
+    A parser stops at the end of the first object and takes one of two equal keys; as the only
+    element of an array, text after the object is an error, and repeated keys are counted.
+    """
+    cells = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+    found = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), cells)
+    keys = F.map_keys(found[0])
+    whole = (F.size(found) == 1) & (F.size(F.array_distinct(keys)) == F.size(keys))
+    return F.when(whole, found[0])
 
 
 def misfits(cells: Column, schema: T.StructType) -> Column:

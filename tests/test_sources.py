@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 import pytest
 from conftest import rows_of
@@ -26,7 +27,7 @@ from medallion.sources import (
     track_json_columns,
 )
 from medallion.sources.csv_folder import header_groups, one_header
-from medallion.sources.json_lines import json_stream
+from medallion.sources.json_lines import json_lines, json_stream, parse_json
 from medallion.streaming import Flow, copy_into, run_flow
 
 PEOPLE = T.StructType().add("id", "integer").add("name", "string").add("born", "date")
@@ -199,3 +200,43 @@ def test_csv_columns_join_the_table_even_in_a_mixed_batch(spark, folder):
     assert (got[1].channel, got[2].channel, got[3].channel) == (None, "web", None)
     assert (got[2].age, got[3].age, got[3].region) == (30, None, "eu")
     assert all(row._rescued_data is None for row in got.values())
+
+
+def old(path: str, days: int = 30) -> None:
+    then = time.time() - days * 86400
+    os.utime(path, (then, then))
+
+
+def test_lines_that_are_more_than_one_object_are_rescued_whole(spark, folder):
+    lines = ['{"id":1,"name":"a"} trailing {"id":9}', '{"id":3,"id":4}', '{"id":5,"name":"b"}', '{"id":6},{"id":7}']
+    write(f"{folder}/in/0.json", "\n".join(lines) + "\n")
+    schema = T.StructType().add("id", "integer").add("name", "string")
+    got = rows_of(parse_json(json_lines(spark.read, f"{folder}/in"), schema))
+    assert got == sorted([(5, "b", None), *((None, None, lines[i]) for i in (0, 1, 3))], key=repr)
+
+
+def test_files_of_any_age_are_read(spark, database, folder):
+    write(f"{folder}/in/0.json", '{"id": 0}\n')
+    write(f"{folder}/csv/0.csv", "id,age,income\n1,20,10\n")
+    log, columns = ChangeLog(spark, f"{folder}/log"), SchemaLog(spark, f"{folder}/schema")
+
+    def load() -> None:
+        bronze(spark, database, folder)
+        copy_into(spark, f"{database}.copied", f"{folder}/in", "json", T.StructType().add("id", "integer"), f"{folder}/cp")
+        copy_into(spark, log, f"{folder}/csv", "csv", SPEND, f"{folder}/cp2")
+        track_json_columns(spark, f"{folder}/in", columns, f"{folder}/cp3")
+
+    load()
+    write(f"{folder}/in/1.json", '{"id": 1, "late": 2}\n')
+    write(f"{folder}/csv/1.csv", "id,age,income\n2,30,20\n")
+    old(f"{folder}/in/1.json")
+    old(f"{folder}/csv/1.csv")
+    load()
+    assert spark.table(f"{database}.bronze").count() == spark.table(f"{database}.copied").count() == log.as_of().count() == 2
+    assert columns.load().names == ["id", "late"]
+
+
+def test_schemas_that_grow_without_end_are_refused(spark, folder):
+    write(f"{folder}/in/0.json", "".join(f'{{"key{i}": 1}}\n' for i in range(30)))
+    with pytest.raises(Exception, match="more than 20 column names"):
+        track_json_columns(spark, f"{folder}/in", SchemaLog(spark, f"{folder}/schema"), f"{folder}/cp", max_columns=20)
