@@ -10,15 +10,14 @@ from medallion.functions.casting import soft_cast
 SALT = "_salt"
 
 
-SEEN_OFTEN = 100
-
-
-def hot_keys(rows: DataFrame, key: str, share: float = 0.001, look_at: float = 0.01) -> list:
+def hot_keys(
+    rows: DataFrame, key: str, share: float = 0.001, look_at: float = 0.01, seen_often: int = 100
+) -> list:
     """Keys that hold about ``share`` of the rows or more; at most 1/share of them.
 
     A hint for :func:`spread_join`, which is right whatever it is given. So it may be
     cheap: it looks at a fraction ``look_at`` of one column, with a bounded sketch per
-    task, and unique keys are never shuffled. A key seen less than a hundred times is
+    task, and unique keys are never shuffled. A key seen less than ``seen_often`` times is
     not hot: a table that small needs no spreading.
     """
     known = rows.where(F.col(key).isNotNull())
@@ -28,7 +27,7 @@ def hot_keys(rows: DataFrame, key: str, share: float = 0.001, look_at: float = 0
         F.count(F.lit(1)).alias("total"),
         F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {int(10 / share)})").alias("top"),
     ).first()
-    least = max(share * found.total, SEEN_OFTEN)
+    least = max(share * found.total, seen_often)
     return [entry.item for entry in found.top or [] if entry["count"] >= least]
 
 
