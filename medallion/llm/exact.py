@@ -140,7 +140,7 @@ def exact_dedup(docs: DataFrame, **options) -> DataFrame:
     keys = keyed(docs, options.get("key_bits", 64))
     index = build_index(docs, keys, **options)
     groups = keys.groupBy("key", "sha").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
-    entries = index.select("key", "sha", "bucket", "link").join(groups, ["key", "sha"])
+    entries = stored(index.select("key", "sha", "bucket", "link").join(groups, ["key", "sha"]), "exact-groups")
     return keys.join(entries, ["key", "sha"]).select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),

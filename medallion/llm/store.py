@@ -22,7 +22,11 @@ SLICE_BYTES = 4 << 20
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts lineage and survives lost executors."""
+    """``df`` written to the shared folder and read again: cuts lineage and survives lost executors.
+
+    An aggregate that is joined back on its own key is stored first: read again, neither side of the join is tied
+    to the aggregate's partitions, so that adaptive execution can split a hot key.
+    """
     path = scratch_dir(df.sparkSession, f"llm-{label}")
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -34,6 +38,12 @@ def numbered(docs: DataFrame) -> DataFrame:
     return stored(docs.select(row, doc), "numbered")
 
 
+def sampled(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """About ``size`` rows, picked by a hash of ``key``; all if there are no more, and twice ``size`` at most."""
+    share = size / max(size, rows.count())
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < int(share * (1 << 31))).limit(2 * size)
+
+
 def mapped(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` by workers that can import this package."""
     environment = df.sparkSession.sparkContext.environment

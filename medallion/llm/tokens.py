@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from medallion.llm.files import NewFile, opened
-from medallion.llm.store import binary, mapped, stored
+from medallion.llm.store import binary, mapped, sampled, stored
 from medallion.llm.warc import train
 from medallion.session import scratch_dir
 
@@ -46,14 +46,22 @@ SAMPLE, SAMPLE_TEXT, DICTIONARY_BYTES, FILE_BYTES = 2000, 4096, 1 << 16, 64 << 2
 #: Words whose ids a worker remembers.
 REMEMBERED = 1_000_000
 
-_TAILED = re.compile(rb"(.*[A-Za-z0-9])([.,;:!?]+)", re.DOTALL)
+#: Letters that are one character each in lower case and in normal form: those of ASCII and Latin-1.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_WORD, _ENDED = re.compile(f"[{_LETTERS}]+"), re.compile(f"[{_LETTERS}0-9]")
+_TAIL = b".,;:!?"
+#: Characters that a byte-level vocabulary writes for bytes: printable ones stand for themselves, the others
+#: for the characters from 256 on, in order.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+_BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
 
 
 class WordIds(dict):
     """Ids of a word as bytes (u32), each encoded once.
 
     The vocabulary's normaliser and splitter never look past white space, nor past punctuation that ends a word
-    after an ASCII letter or digit, so a text's ids are those of its words one after another.
+    after a Latin letter or digit, so a text's ids are those of its words one after another.
     """
 
     def __init__(self, path: str):
@@ -62,15 +70,16 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, word: bytes) -> bytes:
-        tailed = _TAILED.fullmatch(word)
-        if tailed:
-            ids = self[tailed[1]] + self[tailed[2]]
-        elif word.isalpha() and not word.islower():
-            ids = self[word.lower()]
-        elif word.isalpha():  # nothing to normalise or to split: the model alone
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(word.decode())], dtype="<u4").tobytes()
-        else:
-            ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        body, text = word.rstrip(_TAIL), word.decode()
+        if len(body) < len(word) and body and _ENDED.fullmatch(body.decode()[-1]):
+            ids = self[body] + self[word[len(body) :]]
+        elif not _WORD.fullmatch(text):
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        elif (low := text.lower()) != text:
+            ids = self[low.encode()]
+        else:  # nothing to normalise or to split: the model alone
+            found = self.tokenizer.model.tokenize(word.decode("latin-1").translate(_BYTES))
+            ids = np.array([t.id for t in found], dtype="<u4").tobytes()
         if len(self) >= REMEMBERED:
             self.clear()
         self[word] = ids
@@ -133,11 +142,11 @@ class TokenFile:
 
 
 def dictionary_of(docs: DataFrame, vocabulary: str, sample: int = SAMPLE) -> bytes:
-    """Trained on the serialised ids of the first ``SAMPLE_TEXT`` characters of at most ``sample`` documents, picked by hash."""
-    picked = docs.where("text IS NOT NULL").select(F.substring("text", 1, SAMPLE_TEXT).alias("text"), F.xxhash64("doc_id").alias("at"))
-    rows = picked.orderBy("at", "text").limit(sample).select("text").collect()
+    """Trained on the serialised ids of the first ``SAMPLE_TEXT`` characters of at most ``sample`` documents or so, picked by hash."""
+    picked = sampled(docs.where("text IS NOT NULL").select("doc_id", F.substring("text", 1, SAMPLE_TEXT).alias("text")), "doc_id", sample)
+    texts = sorted(r["text"] for r in picked.select("text").collect())
     known = word_ids(vocabulary)
-    return train([planes(known.encode(r["text"].encode())) for r in rows], DICTIONARY_BYTES)
+    return train([planes(known.encode(text.encode())) for text in texts], DICTIONARY_BYTES)
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_bytes: int = FILE_BYTES) -> tuple[DataFrame, str]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.files import NewFile, opened
-from medallion.llm.store import binary, mapped, stored
+from medallion.llm.store import binary, mapped, sampled, stored
 from medallion.session import scratch_dir
 
 #: Fixed values of the formats.
@@ -153,16 +153,16 @@ def records(uri: str) -> Iterator[tuple[int, dict]]:
 
 
 def dictionary_of(pages: DataFrame, sample: int = SAMPLE) -> bytes:
-    """Trained on at most ``sample`` payloads, picked by hash, of at most ``SAMPLE_BYTES`` each."""
-    picked = pages.select(F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("html"), F.xxhash64("page_id").alias("at"))
-    rows = picked.where("html IS NOT NULL").orderBy("at", "html").limit(sample).select("html").collect()
-    return train([bytes(r["html"]) for r in rows])
+    """Trained on ``sample`` payloads or so, picked by hash, of at most ``SAMPLE_BYTES`` each."""
+    html = F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("html")
+    picked = sampled(pages.where("html IS NOT NULL").select("page_id", html), "page_id", sample)
+    return train(sorted(bytes(r["html"]) for r in picked.select("html").collect()))
 
 
 def write_archives(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) below ``folder``; returns the list of archives: path, records, bytes."""
     page = pages.select("page_id", "url", "html", F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary")).alias("sha"))
-    firsts = page.groupBy("sha").agg(F.min("page_id").alias("first"))
+    firsts = stored(page.groupBy("sha").agg(F.min("page_id").alias("first")), "warc-firsts")
     rows = page.join(firsts, "sha").select("page_id", "url", "html", "first")
     head = dictionary_of(pages)
 
@@ -241,6 +241,7 @@ def archived(pages: DataFrame) -> DataFrame:
         found.select("page_id", "record_type", "refers_to", "payload_digest", F.octet_length("payload").cast("long").alias("own_bytes")), "warc-records"
     )
     lengths = narrow.where("record_type = 'response'").groupBy(F.col("payload_digest").alias("of")).agg(F.max("own_bytes").alias("full"))
+    lengths = stored(lengths, "warc-lengths")
     return narrow.join(lengths, F.col("payload_digest") == F.col("of"), "left").select(
         "page_id",
         F.coalesce("own_bytes", "full").alias("payload_bytes"),

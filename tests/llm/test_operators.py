@@ -212,6 +212,12 @@ def test_chains_pay_for_gaps():
     assert passages.chains([0, 0, 5], [3, 9, 20]) == [[1, 2]] or passages.chains([0, 0, 5], [3, 9, 20]) == [[0, 2]]
 
 
+def test_passages_far_apart_are_chains_of_their_own():
+    near_, far = list(range(0, 200, 10)), list(range(900, 1100, 10))
+    found = passages.chains(near_ + far, [x + 5 for x in near_] + [x - 100 for x in far])
+    assert [len(x) for x in found] == [20, 20]
+
+
 def test_alignment_counts_agreeing_words():
     x = np.arange(100, dtype=np.uint32)
     y = np.concatenate([np.arange(900, 907), x[:40], [1000, 1001], x[41:], [7]]).astype(np.uint32)
@@ -222,7 +228,7 @@ def test_alignment_counts_agreeing_words():
 
 def test_passages(docs, texts, nothing):
     rows = passages.repeated_passages(docs).collect()
-    assert all(r["doc_id"] > r["of_doc_id"] and min(r["end"] - r["start"], r["of_end"] - r["of_start"]) >= 50 for r in rows)
+    assert all(r["doc_id"] > r["of_doc_id"] and min(r["end"] - r["start"], r["of_end"] - r["of_start"]) >= passages.MIN_WORDS for r in rows)
     words = {i: brute.lettered(t) for i, t in texts}
     for r in rows:
         x, y = words[r["doc_id"]][r["start"] : r["end"]], words[r["of_doc_id"]][r["of_start"] : r["of_end"]]
