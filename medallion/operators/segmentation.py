@@ -320,7 +320,11 @@ def labelled_points(model: SegmentModel, rows: DataFrame) -> DataFrame:
 
 def silhouette(model: SegmentModel, rows: DataFrame) -> float:
     """Mean silhouette of the clusters, squared Euclidean, on the scaled points."""
-    points = model.pipeline.transform(weighted_points(rows, model.columns))
+    return judged(model.pipeline.transform(weighted_points(rows, model.columns)))
+
+
+def judged(points: DataFrame) -> float:
+    """Mean silhouette of points (features, cluster, weight)."""
     judge = ClusteringEvaluator(
         featuresCol="features", predictionCol="cluster", metricName="silhouette", weightCol="weight"
     )

@@ -360,6 +360,19 @@ fresh AS (
         "segment_kmeans": f"""{_DECLARED} SELECT id, age, annual_income, spending_core, true AS nearest
             FROM checked""",
         "labelled_points": f"{_DECLARED} SELECT age, annual_income, spending_core, true AS nearest FROM checked",
+        "silhouette": f"""{_NEAR}, points AS (SELECT row_number() OVER () AS point, * FROM near),
+            sums AS (SELECT cluster, count(*) AS n, sum(age) AS sa, sum(annual_income) AS si, sum(spending_core) AS ss,
+                sum(age * age + annual_income * annual_income + spending_core * spending_core) AS q
+                FROM near GROUP BY cluster),
+            away AS (SELECT point, p.cluster = s.cluster AS own,
+                (s.n * (age * age + annual_income * annual_income + spending_core * spending_core) + s.q
+                 - 2 * (age * sa + annual_income * si + spending_core * ss))
+                / CASE WHEN p.cluster = s.cluster THEN nullif(s.n - 1, 0) ELSE s.n END AS d
+                FROM points p CROSS JOIN sums s),
+            sides AS (SELECT point, max(CASE WHEN own THEN d END) AS a, min(CASE WHEN NOT own THEN d END) AS b
+                FROM away GROUP BY point)
+            SELECT 4 AS k, round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+            FROM sides""",
         "classify_search": """SELECT 'quality' AS name, true AS known_family, true AS is_best, true AS reused""",
         "gold_update": f"""{_GOLD} SELECT {RAW_NAMES.replace('city, ', '')},
             CASE WHEN {EARLY} THEN 'archived' ELSE city END AS city, age, annual_income,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -618,9 +619,11 @@ def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = _gold_features(spark, sf_dir)
-    score = segmentation.silhouette(segmentation.fit_segments(features), features)
-    return literal_rows(spark, [(4, score)], "k int, silhouette double")
+    """Of the clusters that fixed centres make."""
+    points = _assigned(spark, sf_dir).withColumn("weight", F.lit(1.0))
+    known = points.select("cluster", "weight", F.array(*segmentation.FEATURES).cast("array<double>").alias("v"))
+    score = segmentation.judged(known.select("cluster", "weight", array_to_vector("v").alias("features")))
+    return literal_rows(spark, [(len(CENTRES), round(score, 6))], "k int, silhouette double")
 
 
 def classify_search(spark: SparkSession, sf_dir: str) -> DataFrame:
