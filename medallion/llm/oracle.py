@@ -79,6 +79,31 @@ FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.no = g.no
 GROUP BY l.doc_id
 """
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+LEAKS = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_WORD}') AS words FROM documents),
+items AS (
+    SELECT item_id, words, least(10, len(words)) AS n
+    FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_WORD}') AS words FROM benchmark)
+    WHERE len(words) > 0),
+places AS (SELECT item_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM items),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS part FROM places),
+lengths AS (SELECT DISTINCT n FROM items),
+spots AS (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, lengths WHERE len(words) >= n),
+hits AS (
+    SELECT s.doc_id, s.i, s.n, w.item_id
+    FROM (SELECT doc_id, i, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS part FROM spots) s
+    JOIN windows w ON s.n = w.n AND s.part = w.part),
+hit_words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id),
+hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+    FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_reputation": URLS, "op8_exact_dedup": EXACT, "op10_line_runs": RUNS}
+    return {"op7_url_reputation": URLS, "op8_exact_dedup": EXACT, "op9_decontaminate": LEAKS, "op10_line_runs": RUNS}
