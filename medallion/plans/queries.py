@@ -567,7 +567,8 @@ def elbow_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_sweep_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = segmentation.elbow(_gold_features(spark, sf_dir))
     finished = (F.col("status") == "FINISHED") & (F.col("tag") == segmentation.RUN_TAG)
-    return ranking.latest_for(runs, finished, "finished_at")
+    newest = ranking.latest_for(runs, finished, "finished_at")
+    return newest.select("status", "tag", F.col("k").between(2, 9).alias("k_in_range"), (F.col("inertia") > 0).alias("has_inertia"))
 
 
 def segment_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
