@@ -104,6 +104,23 @@ SELECT d.doc_id, len(d.words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+#: 20 bits of a SHA-1 at a time as four characters of base32.
+_FIVE = "cast('0x' || substr(sha, {at}, 5) AS BIGINT)"
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(({_FIVE.format(at=1 + 5 * g)} >> {shift}) & 31 AS INT) + 1, 1)"
+    for g in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+ARCHIVES = f"""
+WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages),
+firsts AS (SELECT sha, min(page_id) AS first_id FROM payloads GROUP BY sha)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM payloads JOIN firsts USING (sha)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_reputation": URLS, "op8_exact_dedup": EXACT, "op9_decontaminate": LEAKS, "op10_line_runs": RUNS}
+    return {"op2_warc": ARCHIVES, "op7_url_reputation": URLS, "op8_exact_dedup": EXACT, "op9_decontaminate": LEAKS, "op10_line_runs": RUNS}
