@@ -104,6 +104,26 @@ SELECT d.doc_id, len(d.words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+NEAR = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, greatest(1, len(words) - 4) + 1)) AS i FROM docs WHERE len(words) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM docs
+    UNION
+    SELECT r.doc_id, l.y FROM reached r JOIN links l ON r.other = l.x),
+lowest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM lowest LEFT JOIN sizes USING (doc_id)
+"""
+
 #: 20 bits of a SHA-1 at a time as four characters of base32.
 _FIVE = "cast('0x' || substr(sha, {at}, 5) AS BIGINT)"
 _BASE32 = " || ".join(
@@ -123,4 +143,4 @@ FROM payloads JOIN firsts USING (sha)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": ARCHIVES, "op7_url_reputation": URLS, "op8_exact_dedup": EXACT, "op9_decontaminate": LEAKS, "op10_line_runs": RUNS}
+    return {"op1_near_dedup": NEAR, "op2_warc": ARCHIVES, "op7_url_reputation": URLS, "op8_exact_dedup": EXACT, "op9_decontaminate": LEAKS, "op10_line_runs": RUNS}
