@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import mapped, numbered, slices, stored
+from medallion.llm.store import mapped, numbered, release, slices, stored
 from medallion.llm.words import SPACED, U64, grams, mixed, words_of
 
 SHINGLE = 5
@@ -150,7 +150,10 @@ def _confirmed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 def _tried(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """As ``_confirmed``, for pairs whose sets are not at hand."""
     involved = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    return _confirmed(_needed(docs, classes.select("set_id", "cid").join(involved, "cid", "left_semi")), pairs)
+    sets = _needed(docs, classes.select("set_id", "cid").join(involved, "cid", "left_semi"))
+    found = _confirmed(sets, pairs)
+    release(sets)
+    return found
 
 
 def linked(sets: list[np.ndarray], components: np.ndarray, sides: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -287,6 +290,7 @@ def near_duplicates(docs: DataFrame, few: int = FEW, block: int = BLOCK) -> Data
     sets = _needed(docs, classes.select("set_id", "cid").join(involved, "cid", "left_semi"))
     dense = _in_blocks(large, sets, block)
     links = links.unionByName(_confirmed(sets, rest.unionByName(dense).distinct()))
+    release(sets)
 
     found = stored(components(links), "near-found")
     placed = classes.join(found, F.col("cid") == F.col("id"), "left").select("set_id", "low", F.coalesce("component", "cid").alias("component"))

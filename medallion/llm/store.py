@@ -29,7 +29,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, f"llm-{label}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.scratch = path
+    return found
+
+
+def release(found: DataFrame) -> None:
+    """Delete the table that :func:`stored` wrote, once all that read it is stored itself."""
+    spark = found.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(found.scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(docs: DataFrame) -> DataFrame:
