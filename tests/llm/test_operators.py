@@ -240,6 +240,32 @@ def test_passages(docs, texts, nothing):
     assert passages.repeated_passages(nothing).count() == 0
 
 
+def test_short_fuzzy_passages_are_found(spark):
+    rng, rows, kinds = random.Random(8), [], {}
+    for size, share in ((50, 0.05), (50, 0.10), (50, 0.15), (60, 0.10), (60, 0.15)):
+        for i in range(60):
+            text = prose(len(rows) + 1000, size, 10**6)
+            other = " ".join(f"y{rng.randrange(10**6)}" if 0 < j < size - 1 and rng.random() < share else w for j, w in enumerate(text.split(" ")))
+            if brute.common(text.split(" "), other.split(" ")) >= 0.82 * size:
+                at = len(rows)
+                kinds.setdefault((size, share), []).append((at + 1, at))
+                rows += [(at, f"{prose(at + 3000, 40, 10**6)} {text} {prose(at + 4000, 40, 10**6)}"), (at + 1, f"{prose(at + 5000, 30, 10**6)} {other}")]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    pairs = {(r["doc_id"], r["of_doc_id"]) for r in found}
+    for kind, wanted in kinds.items():
+        assert len(pairs.intersection(wanted)) >= 0.97 * len(wanted), (kind, len(pairs.intersection(wanted)), len(wanted))
+
+
+def test_passages_at_every_place_of_the_smallest_text(spark):
+    part = prose(1, 60, 10**6)
+    rows = [(1, f"{part} {prose(102, 80, 10**6)} {part}"), (2, f"{prose(3, 30, 10**6)} {part}"), (3, f"{part} {prose(4, 30, 10**6)}")]
+    spans: dict[int, set] = {}
+    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        spans.setdefault(r["doc_id"], set()).add((r["start"], r["end"]))
+        spans.setdefault(r["of_doc_id"], set()).add((r["of_start"], r["of_end"]))
+    assert spans[1] == {(0, 60), (140, 200)} and spans[2] == {(30, 90)} and spans[3] == {(0, 60)}
+
+
 def test_reputation_rules_and_levels(spark):
     urls = [None, "no scheme", "HTTP://A.Example.COM", "https://example.com/en/x?y=/z", "http://www.example.com/en/?q",
             "http://x.net/es/1", "http://bad.org/1", "ftp://x.net:80/es/", "a://b://c/d#e"]
