@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontaminate, exact, language, lines, mixing, near, passages, reputation, tokens, warc
+from medallion.llm import decontaminate, exact, language, lines, mixing, near, passages, reputation, substrings, tokens, warc
 from medallion.llm.store import stored, table  # noqa: F401
 
 
@@ -79,5 +79,10 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc.doc_id", "n_lines", "n_deleted", F.sha2("doc.text", 256).alias("text_sha256"))
 
 
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}

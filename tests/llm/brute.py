@@ -140,3 +140,24 @@ def common(x, y):
         for j, q in enumerate(y, 1):
             last, row[j] = row[j], last + 1 if p == q else max(row[j], row[j - 1])
     return row[-1]
+
+
+def substrings(docs, length=50):
+    """doc_id, n_bytes, n_removed, n_spans, sha256; ``docs`` are (doc_id, text), ids may be None or repeat."""
+    last = 1 << 63
+    raw = [(last if i is None else i, (t or "").encode()) for i, t in docs]
+    first = {}
+    for i, data in raw:
+        for at in range(len(data) - length + 1):
+            string = data[at : at + length]
+            first[string] = min(first.get(string, last), i)
+    out = []
+    for (doc_id, _), (i, data) in zip(docs, raw):
+        gone = [False] * len(data)
+        for at in range(len(data) - length + 1):
+            if first[data[at : at + length]] < i:
+                gone[at : at + length] = [True] * length
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        out.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
