@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontaminate, exact, language, lines, mixing, near, passages, reputation, substrings, tokens, warc
+from medallion.llm import covertree, decontaminate, exact, language, lines, mixing, near, passages, reputation, substrings, tokens, warc
 from medallion.llm.store import stored, table  # noqa: F401
 
 
@@ -84,5 +84,10 @@ def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = covertree.compressed(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error").withColumn("codebooks_sha256", F.lit(covertree.digest(books)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -161,3 +162,39 @@ def substrings(docs, length=50):
         kept = bytes(b for b, g in zip(data, gone) if not g)
         out.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return sorted(out, key=repr)
+
+
+def quantised(rows, parts=16, entries=64, rounds=2):
+    """vec_id, code, error, label_error, codebooks hash; ``rows`` are (vec_id, vector, label), ids not null."""
+    kept = []
+    for vec_id, vector, label in rows:
+        if vector is not None and all(x is not None and math.isfinite(x) for x in vector):
+            whole = [math.floor(256 * x) for x in vector]
+            width = len(whole) // parts
+            kept.append((vec_id, [tuple(whole[p * width : (p + 1) * width]) for p in range(parts)], label))
+    if not kept:
+        return []
+    first = sorted(kept, key=lambda r: (r[0], r[1]))[:entries]
+    books = [[r[1][p] for r in first] for p in range(parts)]
+
+    def nearest(p, point):
+        return min((sum((a - b) ** 2 for a, b in zip(point, e)), i) for i, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        held = [defaultdict(list) for _ in range(parts)]
+        for _, points, _ in kept:
+            for p, point in enumerate(points):
+                held[p][nearest(p, point)[1]].append(point)
+        for p in range(parts):
+            for i, points in held[p].items():
+                books[p][i] = tuple(sum(x) // len(points) for x in zip(*points))
+    out = []
+    for vec_id, points, label in kept:
+        found = [nearest(p, point) for p, point in enumerate(points)]
+        out.append((vec_id, "".join(f"{i:02x}" for _, i in found), sum(d for d, _ in found), label))
+    of_label = Counter()
+    for _, _, error, label in out:
+        of_label[label] += error
+    numbers = ",".join(str(x) for p in range(parts) for e in books[p] for x in e)
+    sha = hashlib.sha256(numbers.encode()).hexdigest()
+    return sorted(((v, c, e, of_label[label], sha) for v, c, e, label in out), key=repr)
