@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import covertree, decontaminate, exact, language, lines, mixing, near, passages, reputation, substrings, tokens, warc
+from medallion.llm import conversations, covertree, decontaminate, exact, language, lines, mixing, near, passages, reputation, substrings, tokens, warc
 from medallion.llm.store import stored, table  # noqa: F401
 
 
@@ -79,6 +79,19 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc.doc_id", "n_lines", "n_deleted", F.sha2("doc.text", 256).alias("text_sha256"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    report, repaired = conversations.repair(conversations.damaged(turns))
+    found = conversations.merged("conv_id", report, conversations.digests(repaired), turns.select("conv_id"))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id",
+        *[F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.deduplicated(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

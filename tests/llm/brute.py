@@ -198,3 +198,71 @@ def quantised(rows, parts=16, entries=64, rounds=2):
     numbers = ",".join(str(x) for p in range(parts) for e in books[p] for x in e)
     sha = hashlib.sha256(numbers.encode()).hexdigest()
     return sorted(((v, c, e, of_label[label], sha) for v, c, e, label in out), key=repr)
+
+
+def damaged(rows):
+    """Rows (conv_id, turn, role, text) with the faults of op11."""
+    out = []
+    for conv_id, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out += [(conv_id, turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return out
+
+
+def conversations(rows):
+    """The columns of op11 for every conv_id: all edits of a row tried in every state, the least (cost, audit) kept."""
+    kept = defaultdict(list)
+    for conv_id, turn, role, text in damaged(rows):
+        sha = hashlib.sha256(text.encode()).digest()
+        kept[conv_id].append((turn is not None, turn or 0, role, sha, text))
+    out = []
+    for conv_id in {r[0] for r in rows}:
+        turns = sorted(kept[conv_id])
+        known = [t[1] for t in turns if t[0]]
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        seen, faults = set(), []
+        for _, _, role, _, text in turns:
+            solid = re.sub(r"[\x20\x09-\x0D]+\Z", "", text)
+            fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faults.append(fault)
+        initials = [t[2][:1] for t in turns]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        # state is "", s, u or a; value is (cost, audit, repaired rows)
+        paths = {"": (0, "", ())}
+        follows = {"": "su", "s": "u", "u": "a", "a": "u"}
+        full = {"s": "system", "u": "user", "a": "assistant"}
+
+        def better(to, state, path):
+            if state not in to or path[:2] < to[state][:2]:
+                to[state] = path
+
+        def inserting(paths):
+            for _ in range(3):
+                for state, (cost, audit, done) in list(paths.items()):
+                    due = follows[state][-1]
+                    better(paths, due, (cost + 2, audit + "I", (*done, f"{full[due]}:")))
+            return paths
+
+        for (_, _, role, _, text), fault, initial in zip(turns, faults, initials):
+            after = {}
+            for state, (cost, audit, done) in inserting(paths).items():
+                better(after, state, (cost + 3, audit + "D", done))
+                if fault not in ("blank", "duplicate"):
+                    cost += fault == "truncated"
+                    if initial and initial in follows[state]:
+                        better(after, initial, (cost, audit + "K", (*done, f"{role}:{text}")))
+                    due = follows[state][-1]
+                    better(after, due, (cost + 2, audit + "R", (*done, f"{full[due]}:{text}")))
+            paths = after
+        cost, audit, done = min(p for s, p in inserting(paths).items() if s in ("", "a"))
+        counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+        out.append((conv_id, gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(done).encode()).hexdigest()))
+    return sorted(out, key=repr)
