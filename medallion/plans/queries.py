@@ -261,17 +261,14 @@ def gold_notebook(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_declarative(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace.create(spark, "declarative")
-    gold, _ = retail.declarative_pipeline(space, landing(spark, sf_dir))
+    gold = retail.declarative_pipeline(space, landing(spark, sf_dir))
     return _zoneless(spark.table(gold))
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace.create(spark, "quality")
-    _, metrics = retail.declarative_pipeline(space, landing(spark, sf_dir))
-    kept = kept_metrics(spark, space.root)
-    counted = metrics.join(kept.select("flow").distinct(), "flow", "left_anti")  # the spend table's, counted as a batch
-    append_to_table(spark, kept.unionByName(counted), space.name("quality_metrics"))
-    totals = spark.table(space.name("quality_metrics")).groupBy("flow", "rule")
+    retail.declarative_pipeline(space, landing(spark, sf_dir))
+    totals = kept_metrics(spark, space.root).groupBy("flow", "rule")
     return totals.agg(*[F.sum(c).alias(c) for c in ("passed", "failed", "dropped")])
 
 
@@ -603,7 +600,7 @@ def _nearest(scored: DataFrame, model: segmentation.SegmentModel) -> DataFrame:
 def segment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold rows scored as they arrive, by a SQL function with fixed centres."""
     space = Workspace.create(spark, "segments")
-    gold, _ = retail.declarative_pipeline(space, landing(spark, sf_dir))
+    gold = retail.declarative_pipeline(space, landing(spark, sf_dir))
     limits = segmentation.bounds(spark.table(gold), segmentation.FEATURES)
     names = {f"cluster_{i}": name for i, name in enumerate(segmentation.SEGMENTS)}
     function = "fixed_centre_segment"

@@ -25,7 +25,7 @@ from medallion.sources.schema import SchemaLog
 from medallion.streaming.bulk import copy_into
 from medallion.streaming.control import finish
 from medallion.streaming.flows import Flow, last_commit, new_rows, run_flow
-from medallion.streaming.rules import Rule, rule_counts
+from medallion.streaming.rules import Rule, batch_counts, keep_counts, kept_batches
 
 # Type hints, rules and comments of the pipeline.
 USERS_TEXT_ID = f"id STRING, {USER_COLUMNS}"
@@ -115,14 +115,17 @@ def load_spend(
     return log
 
 
-def load_checked_spend(space: Workspace, folder: str) -> tuple[ChangeLog, DataFrame]:
-    """The declarative spend table, and the rule counters of the rows this run added."""
+def load_checked_spend(space: Workspace, folder: str) -> ChangeLog:
+    """The declarative spend table. The counters of its rules are stored by version, of all versions
+    since the last one counted, so a run that ended before it counted leaves none out."""
     table = "spend_silver_dlt"
-    before = space.log(table).latest_version()
     spend = load_spend(space, folder, SPEND_FLOAT_HINTS, table)
-    if spend.latest_version() == before:
-        return spend, rule_counts(spend.as_of().limit(0), table, ID_RULES)
-    return spend, rule_counts(spend.changes(before + 1), table, ID_RULES)
+    latest = spend.latest_version()
+    counted = max(kept_batches(space.spark, space.root, table), default=-1)
+    if latest > counted:
+        rows = batch_counts(spend.changes(counted + 1, latest), table, latest, ID_RULES)
+        keep_counts(space.spark, space.root, table, latest, rows)
+    return spend
 
 
 # ---- silver ------------------------------------------------------------------
@@ -235,8 +238,9 @@ def overview_pipeline(space: Workspace, source: Landing) -> ChangeLog:
     return gold
 
 
-def declarative_pipeline(space: Workspace, source: Landing) -> tuple[str, DataFrame]:
-    """The pipeline with rules; returns gold's table name and the rule counters of the run.
+def declarative_pipeline(space: Workspace, source: Landing) -> str:
+    """The pipeline with rules; returns gold's table name. The counters of the rules are stored below the
+    workspace, see :func:`~medallion.streaming.rules.kept_metrics`.
 
     The list below is the graph: a flow reads only tables written above it.
     """
@@ -244,14 +248,9 @@ def declarative_pipeline(space: Workspace, source: Landing) -> tuple[str, DataFr
     bronze, silver = space.name("users_bronze_dlt"), space.name("user_silver_dlt")
     remembered = SchemaLog(spark, f"{space.root}/schemas/users_bronze_dlt")
     remembered.save(T.StructType.fromDDL(USERS_TEXT_ID))
-    metrics = run_flow(
-        spark, bronze_flow(bronze, source.users, remembered.load(), rules=BRONZE_RULES), space.root
-    )
-    silver_metrics = run_flow(spark, silver_flow(silver, bronze, declared=True), space.root)
-    spend, spend_metrics = load_checked_spend(space, source.spend)
+    run_flow(spark, bronze_flow(bronze, source.users, remembered.load(), rules=BRONZE_RULES), space.root)
+    run_flow(spark, silver_flow(silver, bronze, declared=True), space.root)
+    spend = load_checked_spend(space, source.spend)
     gold = space.name("user_gold_dlt")
-    flow = gold_flow(space, gold, silver, spend, "left", declared=True)
-    gold_metrics = run_flow(spark, flow, space.root)
-    for more in (silver_metrics, spend_metrics, gold_metrics):
-        metrics = metrics.unionByName(more)
-    return gold, metrics
+    run_flow(spark, gold_flow(space, gold, silver, spend, "left", declared=True), space.root)
+    return gold

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -79,18 +81,59 @@ def metrics_path(root: str) -> str:
     return f"{root}/quality_metrics"
 
 
+def _write_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole under its name; one that is there already stays."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(target):
+        return
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    out = store.create(draft)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not store.rename(draft, target):
+        store.delete(draft, False)
+
+
+def keep_counts(spark: SparkSession, root: str, flow: str, batch_id: int, rows: list[tuple]) -> None:
+    """Store the counters ``rows`` of one micro-batch below ``root``, without a Spark job.
+
+    The file's name is flow and batch, so a batch counted twice is stored once.
+    """
+    lines = [json.dumps(dict(zip(METRIC_NAMES, row))) + "\n" for row in rows]
+    _write_once(spark, f"{metrics_path(root)}/of_flow={flow}/{batch_id}.json", "".join(lines))
+
+
 def keep_metrics(spark: SparkSession, root: str, flow: str, rules: list[Rule], progress: dict) -> None:
-    """Write the counters of a micro-batch below ``root``; a repeated batch replaces its own."""
-    rows = rule_metrics(spark, flow, rules, [progress])
-    if rules and flow in progress["observedMetrics"]:
-        folder = f"{metrics_path(root)}/of_flow={flow}/of_batch={progress['batchId']}"
-        rows.write.mode("overwrite").parquet(folder)
+    """Store the counters that a micro-batch's progress reports."""
+    counts = progress["observedMetrics"].get(flow)
+    if rules and counts is not None:
+        counts = counts if isinstance(counts, dict) else counts.asDict()
+        rows = _metric_rows(flow, progress["batchId"], rules, counts)
+        keep_counts(spark, root, flow, progress["batchId"], rows)
+
+
+def kept_batches(spark: SparkSession, root: str, flow: str) -> list[int]:
+    """Numbers of the micro-batches whose counters are stored, from the names of the files."""
+    return numbered_files(spark, f"{metrics_path(root)}/of_flow={flow}", ".json")
+
+
+def numbered_files(spark: SparkSession, folder: str, suffix: str = "") -> list[int]:
+    """Numbers that name files of ``folder``, in order; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return []
+    names = [entry.getPath().getName() for entry in store.listStatus(path)]
+    numbers = [name.removesuffix(suffix) for name in names if name.endswith(suffix)]
+    return sorted(int(n) for n in numbers if n.isdigit())
 
 
 def kept_metrics(spark: SparkSession, root: str, flow: str | None = None) -> DataFrame:
-    """All counters kept below ``root``, once per flow, rule and micro-batch, across runs that failed."""
+    """All counters stored below ``root``: once per flow, rule and micro-batch, whatever run took the batch."""
     try:
-        rows = spark.read.schema(METRICS).parquet(metrics_path(root)).select(*METRIC_NAMES)
+        rows = spark.read.schema(METRICS).json(metrics_path(root)).select(*METRIC_NAMES)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -98,6 +141,11 @@ def kept_metrics(spark: SparkSession, root: str, flow: str | None = None) -> Dat
     return rows if flow is None else rows.where(F.col("flow") == flow)
 
 
+def batch_counts(rows: DataFrame, flow: str, batch_id: int, rules: list[Rule]) -> list[tuple]:
+    """The counters of a batch as rows for :func:`keep_counts`; one aggregate over ``rows``."""
+    return _metric_rows(flow, batch_id, rules, rows.agg(*_counters(rules)).first().asDict())
+
+
 def rule_counts(rows: DataFrame, flow: str, rules: list[Rule]) -> DataFrame:
     """The same table for a batch, one aggregate over ``rows``; batch_id is NULL."""
     counts = rows.agg(*_counters(rules))

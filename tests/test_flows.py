@@ -20,7 +20,7 @@ from medallion.streaming import (
     stop_all_streams,
     wait_for_all_streams,
 )
-from medallion.streaming.flows import append_to_table, create_database, last_commit
+from medallion.streaming.flows import append_to_table, create_database, last_commit, uncounted_batches
 
 RULES = [Rule("has_v", "v IS NOT NULL", "drop"), Rule("small", "v < 5", "drop"), Rule("warned", "k <> 'a'")]
 ROWS = [("a", 1), ("a", None), ("b", 9), (None, 2)]
@@ -146,3 +146,71 @@ def test_counters_of_a_failed_run_are_kept(spark, database, folder):
     run_flow(spark, flow, folder)
     kept = kept_metrics(spark, folder, "checked")
     assert rows_of(kept.selectExpr("count(DISTINCT batch_id)", "count(*)", "sum(failed)", "sum(passed)")) == [(3, 3, 2, 1)]
+
+
+def totals(spark, folder, flow):
+    from medallion.streaming.rules import kept_metrics
+
+    sums = [f"sum({c})" for c in ("passed", "failed", "dropped")]
+    return rows_of(kept_metrics(spark, folder, flow).groupBy("rule").agg(F.count("*"), *map(F.expr, sums)))
+
+
+def test_an_always_on_flow_keeps_its_counters(spark, database, folder):
+    feed(spark, database)
+    flow = Flow(f"{database}.live", lambda s: new_rows(s, f"{database}.feed"), RULES)
+    query = start_flow(spark, flow, folder)
+    query.processAllAvailable()
+    feed(spark, database, [("c", None), ("a", 1)])
+    query.processAllAvailable()
+    expected = [("has_v", 2, 4, 2, 2), ("small", 2, 3, 3, 3), ("warned", 2, 2, 4, 0)]
+    waited = time.time()
+    while totals(spark, folder, "live") != expected and time.time() - waited < 20:
+        time.sleep(0.2)
+    query.stop()
+    assert totals(spark, folder, "live") == expected
+
+
+DRIVER = """
+import os, sys
+sys.path[:0] = [{root!r}, {tests!r}]
+from medallion.session import build_session
+from medallion.streaming import flows, rules
+import test_flows
+spark = build_session("killed", "local[2]", spark_sql_shuffle_partitions=2, spark_checkpoint_dir={folder!r})
+flows.keep_metrics = lambda *given: os._exit(9)
+flow = test_flows.file_flow({folder!r})
+flow.target.spark = spark
+flows.run_flow(spark, flow, {folder!r})
+"""
+
+
+def file_flow(folder, rules=RULES):
+    def build(spark):
+        lines = spark.readStream.schema("k string, v int").option("maxFilesPerTrigger", 1).json(f"{folder}/in")
+        return lines.where("k IS NULL OR k <> 'skipped'")
+
+    return Flow("default.killed", build, rules, target=ChangeLog(None, f"{folder}/log"))
+
+
+@pytest.mark.parametrize("arrives", [False, True])
+def test_a_driver_killed_right_after_a_commit_loses_no_counter(spark, folder, arrives):
+    import subprocess
+    import sys
+
+    for rows in (ROWS[:1], ROWS[1:], [("skipped", 7)]):
+        spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").json(f"{folder}/in")
+    tests = os.path.dirname(os.path.abspath(__file__))
+    script = DRIVER.format(root=os.path.dirname(tests), tests=tests, folder=folder)
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, timeout=240)
+    assert done.returncode == 9, done.stderr[-2000:]
+    flow = file_flow(folder)
+    flow.target.spark = spark
+    assert uncounted_batches(spark, flow, folder) and totals(spark, folder, "killed") == []
+    if arrives:
+        spark.createDataFrame([("late", None)], "k string, v int").coalesce(1).write.mode("append").json(f"{folder}/in")
+    run_flow(spark, flow, folder)
+    run_flow(spark, flow, folder)
+    late = int(arrives)
+    found = [(rule, passed, failed, dropped) for rule, _, passed, failed, dropped in totals(spark, folder, "killed")]
+    assert found == [("has_v", 3, 1 + late, 1 + late), ("small", 2, 2 + late, 2 + late), ("warned", 1 + late, 3, 0)]
+    assert rows_of(flow.target.as_of()) == [("a", 1), (None, 2)] and uncounted_batches(spark, flow, folder) == []
