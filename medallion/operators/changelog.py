@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.compaction import write_sized
-from medallion.operators.joins import hot_keys as frequent_keys
-from medallion.operators.joins import spread_join
+from medallion.operators.joins import hot_shares, spread_join
 from medallion.session import literal_rows, no_rows, scratch_dir
 from medallion.sources.json_lines import throttled
 
@@ -310,7 +309,7 @@ class ChangeLog:
         both = both.withColumns(picked).select(*columns.names, *IDENTITY, CHANGE)
         return self._commit(head.version + 1, "update", both, columns, has_deletes=True)
 
-    def merge(self, source: DataFrame, keys: list[str], hot_keys: list | None = None) -> int:
+    def merge(self, source: DataFrame, keys: list[str], hot_keys: dict | list | None = None) -> int:
         """Upsert: every row whose key is in ``source`` takes the columns ``source`` has and keeps its
         others; the rest of ``source`` is added.
 
@@ -327,7 +326,7 @@ class ChangeLog:
         if not named.groupBy(*keys).count().where("count > 1").isEmpty():
             raise ValueError(f"the merge source repeats a key of {keys}")
         live = self._live(head)
-        hot = frequent_keys(live, keys[0]) if hot_keys is None else hot_keys
+        hot = hot_shares(live, keys[0]) if hot_keys is None else hot_keys
         given = {name: f"_new_{name}" for name in source.columns if name not in keys}
         matched = spread_join(
             live, named.withColumnsRenamed(given), keys, "inner", hot, deal=F.xxhash64(*IDENTITY)

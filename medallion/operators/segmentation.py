@@ -15,6 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,7 @@ RUN_TAG = "retail_segmentation"
 SQL_NAME = "get_customer_segmentation_cluster"
 
 SWEEP = (
-    "k int, inertia double, seconds double, status string, tag string, finished_at timestamp"
+    "k int, inertia double, seconds double, status string, tag string, finished_at timestamp, reported double"
 )
 
 
@@ -123,7 +124,8 @@ def elbow(
 ) -> DataFrame:
     """Fit k-means for every k, ``parallelism`` at a time; a row per k with its inertia.
 
-    Scaling is fitted once. The scaled points are persisted over the fits, spilling
+    ``inertia`` is summed over the points for the final centres, those of all k in one scan; what a fit itself
+    ``reported`` is from before the last move of its centres, so it is as large or a little larger. Scaling is fitted once. The scaled points are persisted over the fits, spilling
     to disk; a lost block is read again from the written points.
     """
     spark = rows.sparkSession
@@ -136,14 +138,33 @@ def elbow(
         model = _stages(columns, k, seed)[2].fit(points)
         seconds = time.monotonic() - started
         cost = float(model.summary.trainingCost)
+        centres[k] = [[float(x) for x in centre] for centre in model.clusterCenters()]
         return (k, cost, seconds, "FINISHED", tag, datetime.now(timezone.utc))
 
+    centres: dict[int, list[list[float]]] = {}
+
     try:
         with ThreadPoolExecutor(parallelism) as pool:
             results = list(pool.map(inheritable_thread_target(spark)(fit), ks))
+        distances = summed_distances(points, centres)
     finally:
         points.unpersist()
-    return literal_rows(spark, results, SWEEP)
+    return literal_rows(spark, [(k, distances[k], *rest, cost) for k, cost, *rest in results], SWEEP)
+
+
+def summed_distances(points: DataFrame, centres: dict[int, list[list[float]]]) -> dict[int, float]:
+    """For each number of centres the squared distances of ``points`` (features, weight) to their nearest one,
+    summed; one aggregate over the points for all of them."""
+    features = vector_to_array("features")
+
+    def distance(centre: list[float]) -> Column:
+        return sum(((features[i] - x) * (features[i] - x) for i, x in enumerate(centre)), F.lit(0.0))
+
+    def nearest(of: list[list[float]]) -> Column:
+        return F.least(*map(distance, of)) if len(of) > 1 else distance(of[0])
+
+    sums = points.agg(*[F.sum(F.col("weight") * nearest(of)).alias(str(k)) for k, of in centres.items()]).first()
+    return {k: float(sums[str(k)] or 0.0) for k in centres}
 
 
 def register_segments(

@@ -357,7 +357,7 @@ fresh AS (
         "preview": """SELECT least(100, count(*)) AS shown, least(100, count(*)) AS members FROM lineitem""",
         "latest_sweep_run": """SELECT 'FINISHED' AS status, 'retail_segmentation' AS tag, true AS k_in_range,
             true AS has_inertia""",
-        "elbow_sweep": """SELECT cast(k AS int) AS k, true AS falls, 'FINISHED' AS status
+        "elbow_sweep": """SELECT cast(k AS int) AS k, true AS falls, true AS agrees
             FROM (SELECT unnest([2, 3, 4, 5, 6, 7, 8, 9]) AS k)""",
         "segment_kmeans": f"""{_DECLARED} SELECT id, age, annual_income, spending_core, true AS nearest
             FROM checked""",

@@ -42,8 +42,9 @@ from medallion.plans.retail import (
 from medallion.session import literal_rows, scratch_dir
 from medallion.sources.files import backdate, list_files, query_in_place, read_or_empty
 from medallion.sources.json_lines import RESCUED
-from medallion.sources.schema import SchemaLog, track_json_columns
+from medallion.sources.schema import SchemaLog, json_batches
 from medallion.streaming.bulk import copy_into
+from medallion.streaming.control import finish
 from medallion.streaming.flows import append_to_table, run_flow
 from medallion.streaming.rules import kept_metrics, kept_rows
 
@@ -98,9 +99,9 @@ def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_json_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two drops into one folder; only the second has the column ``loyalty``."""
+    """Two drops into one folder; only the second has the column ``loyalty``. Each file is read once."""
     space = Workspace.create(spark, "evolved")
-    folder, name = f"{space.root}/drop", space.name("user_bronze")
+    folder, bronze = f"{space.root}/drop", space.log("user_bronze")
     files = file_count(spark, sf_dir, "customer", 4)
     users = users_source(spark, sf_dir)
     log = SchemaLog(spark, f"{space.root}/schema")
@@ -108,9 +109,10 @@ def bronze_json_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     for drop in (first, users.where("loyalty IS NOT NULL")):
         drop.repartition(files, "address").write.mode("append").json(folder)
         log.load_or_infer(folder)
-        schema = track_json_columns(spark, folder, log, f"{space.root}/checkpoints/columns")
-        run_flow(spark, retail.bronze_flow(name, folder, schema), space.root)
-    return spark.table(name).drop(RESCUED)
+        writer = json_batches(spark, folder, log, bronze.batch_appender("user_bronze"))
+        writer = writer.option("checkpointLocation", f"{space.root}/checkpoints/user_bronze")
+        finish(writer.trigger(availableNow=True).start())
+    return bronze.as_of().drop(RESCUED)
 
 
 def copy_into_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -555,10 +557,14 @@ def distinct_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elbow_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fit per k; inertia falls, but for what a local minimum costs."""
+    """A fit per k; inertia falls, but for what a local minimum costs, and agrees with the fit's own, which is from a step before."""
     runs = segmentation.elbow(_gold_features(spark, sf_dir))
     last = F.lag("inertia").over(Window.orderBy("k"))  # a row per k
-    return runs.select("k", F.coalesce(F.col("inertia") < 1.05 * last, F.col("inertia") > 0).alias("falls"), "status")
+    return runs.select(
+        "k",
+        F.coalesce(F.col("inertia") < 1.05 * last, F.col("inertia") > 0).alias("falls"),
+        F.col("inertia").between(0.99 * F.col("reported"), (1 + 1e-9) * F.col("reported")).alias("agrees"),
+    )
 
 
 def latest_sweep_run(spark: SparkSession, sf_dir: str) -> DataFrame:

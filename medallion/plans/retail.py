@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from medallion.functions.cleaning import clean_users, clean_users_declared
 from medallion.operators.changelog import ChangeLog
-from medallion.operators.joins import hot_keys, key_as, spread_join
+from medallion.operators.joins import hot_shares, key_as, spread_join
 from medallion.plans.landing import USER_COLUMNS, Landing
 from medallion.session import scratch_dir
 from medallion.sources.csv_folder import csv_batches
@@ -144,7 +144,7 @@ def silver_flow(name: str, source: str, declared: bool, drop_rescued: bool = Tru
 # ---- gold --------------------------------------------------------------------
 
 
-def join_spend(users: DataFrame, spend: DataFrame, how: str, hot: list | None = None) -> DataFrame:
+def join_spend(users: DataFrame, spend: DataFrame, how: str, hot: dict | None = None) -> DataFrame:
     """Users with their spend on ``id``, ``inner`` or ``left``; duplicate spend ids fan out.
 
     A text ``id`` is matched by value and stays text; what is no number matches nothing.
@@ -158,7 +158,7 @@ def join_spend(users: DataFrame, spend: DataFrame, how: str, hot: list | None =
     return joined.select(F.col("_text_id").alias("id"), *others)
 
 
-def _hot_ids(spark: SparkSession, silver: str, spend: DataFrame, since: datetime | None) -> list:
+def _hot_ids(spark: SparkSession, silver: str, spend: DataFrame, since: datetime | None) -> dict:
     """Ids that dominate the silver files written after ``since``; only ids are read.
 
     What is found only tells the join which keys to spread, so a file missed or
@@ -168,7 +168,7 @@ def _hot_ids(spark: SparkSession, silver: str, spend: DataFrame, since: datetime
     if since is not None:
         users = users.where(F.col("_metadata.file_modification_time") >= F.lit(since))
     key = users.select(key_as("id", spend.schema["id"].dataType.simpleString()).alias("id"))
-    return hot_keys(key, "id")
+    return hot_shares(key, "id")
 
 
 def gold_flow(

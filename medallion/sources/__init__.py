@@ -8,7 +8,7 @@ from medallion.sources.files import (
     sized_partitions,
 )
 from medallion.sources.json_lines import json_lines, json_stream, parse_json
-from medallion.sources.schema import SchemaLog, apply_hints, infer_schema, track_json_columns
+from medallion.sources.schema import SchemaLog, apply_hints, infer_schema, json_batches, track_json_columns
 
 __all__ = [
     "SchemaLog",
@@ -17,6 +17,7 @@ __all__ = [
     "folder_bytes",
     "has_files",
     "infer_schema",
+    "json_batches",
     "json_lines",
     "json_stream",
     "list_files",

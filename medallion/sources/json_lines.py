@@ -72,8 +72,12 @@ def parse_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
     schema of the text source never changes, so a wider ``schema`` can resume an
     old checkpoint.
     """
-    parsed = lines.select("value", as_map("value").alias("m"))
-    parsed = parsed.select("*", misfits(F.col("m"), schema).alias("misfits"))
+    return typed_cells(lines.select("value", as_map("value").alias("m")), schema)
+
+
+def typed_cells(cells: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lines (``value``) parsed to maps (``m``) as the columns of ``schema`` and ``_rescued_data``."""
+    parsed = cells.select("*", misfits(F.col("m"), schema).alias("misfits"))
     columns = [
         soft_cast(F.col("m")[field.name], field.dataType).alias(field.name)
         for field in schema

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 
 from medallion.session import literal_rows
 from medallion.sources.files import list_files
-from medallion.sources.json_lines import as_map, json_lines, throttled
+from medallion.sources.json_lines import as_map, json_lines, throttled, typed_cells
 
 
 def _all_strings(names: list[str]) -> T.StructType:
@@ -99,6 +101,15 @@ class SchemaLog:
         return schema
 
 
+def _note_columns(cells: DataFrame, folder: str, log: SchemaLog, max_columns: int) -> T.StructType:
+    """Widen ``log`` by the keys of the maps ``m``; the driver sees distinct names, ``max_columns`` of them at most."""
+    keys = cells.select(F.explode(F.map_keys("m")).alias("name")).distinct()
+    names = [row.name for row in keys.limit(max_columns + 1).collect()]
+    if len(set(names) | set((log.load() or T.StructType([])).names)) > max_columns:
+        raise ValueError(f"{folder} has more than {max_columns} column names; keys that are data belong in a map")
+    return log.widen(names)
+
+
 def track_json_columns(
     spark: SparkSession, folder: str, log: SchemaLog, checkpoint: str, max_columns: int = 1000
 ) -> T.StructType:
@@ -110,13 +121,35 @@ def track_json_columns(
     """
 
     def note_columns(batch: DataFrame, batch_id: int) -> None:
-        keys = batch.select(F.explode(F.map_keys("m")).alias("name")).distinct()
-        names = [row.name for row in keys.limit(max_columns + 1).collect()]
-        if len(set(names) | set((log.load() or T.StructType([])).names)) > max_columns:
-            raise ValueError(f"{folder} has more than {max_columns} column names; keys that are data belong in a map")
-        log.widen(names)
+        _note_columns(batch, folder, log, max_columns)
 
     lines = json_lines(throttled(spark.readStream), folder).select(as_map("value").alias("m"))
     writer = lines.writeStream.foreachBatch(note_columns).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
     return log.load() or T.StructType([])
+
+
+def json_batches(
+    spark: SparkSession,
+    folder: str,
+    log: SchemaLog,
+    sink: Callable[[DataFrame, int], None],
+    max_files: int | None = None,
+    max_columns: int = 1000,
+):
+    """A stream writer that hands new JSON files to ``sink(rows, batch_id)`` and lets unseen columns join the schema.
+
+    Each file is read and parsed once: the parsed lines of a micro-batch stay on the executors' disks while their
+    names widen ``log``, and then become typed columns and ``_rescued_data``. ``sink`` must be idempotent per
+    batch id and take wider rows, as :meth:`ChangeLog.batch_appender` does.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        cells = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            sink(typed_cells(cells, _note_columns(cells, folder, log, max_columns)), batch_id)
+        finally:
+            cells.unpersist()
+
+    lines = json_lines(throttled(spark.readStream, max_files), folder)
+    return lines.select("value", as_map("value").alias("m")).writeStream.foreachBatch(load)

@@ -4,7 +4,8 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from medallion.operators import hot_keys, spread_join
+from medallion.operators import hot_keys, hot_shares, spread_join
+from medallion.operators.joins import salts_by_share
 from medallion.plans.retail import join_spend
 
 
@@ -17,7 +18,7 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot", [None, [7], [7, 11, 99999]])
+@pytest.mark.parametrize("hot", [None, [7], [7, 11, 99999], {7: 0.33, 11: 0.001}])
 def test_spread_join_equals_the_plain_join(spark, how, hot):
     left, right = sides(spark)
     want = rows_of(left.join(right, "k", how))
@@ -54,3 +55,18 @@ def test_text_keys_match_by_value_and_stay_text(spark):
     assert rows_of(join_spend(users, spend, "inner")) == [("-2", "c", 5), ("1", "a", 10), ("1", "a", 11)]
     left = rows_of(join_spend(users, spend, "left"))
     assert len(left) == 5 and ("x", "b", None) in left
+
+
+def test_rows_of_hot_keys_are_repeated_by_share(spark):
+    left, right = sides(spark)
+    shares = hot_shares(left, "k", 0.05, look_at=1)
+    assert list(shares) == [7] and abs(shares[7] - 1 / 2) < 0.01  # of the rows that have a key
+    hot = {7: 1 / 3, 11: 0.002, 12: 0.0001, 13: 0.9}
+    assert salts_by_share(hot, 2000) == {1334: [7], 8: [11], 2: [12], 2000: [13]}
+    assert salts_by_share({7: 1 / 3, 11: 0.2}, 2) == {2: [7, 11]}
+    many = {k: 0.001 for k in range(1000)}
+    assert sum(n * len(v) for n, v in salts_by_share(many, 2000).items()) <= 2 * 2000
+    joined = spread_join(left, right, ["k"], "inner", {7: 1 / 3, 11: 0.002}, salts=2000)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "1334" in plan and "8" in plan
+    assert joined.where("k = 7").count() == 2000 and joined.where("k = 11").count() == left.where("k = 11").count()

@@ -240,3 +240,39 @@ def test_schemas_that_grow_without_end_are_refused(spark, folder):
     write(f"{folder}/in/0.json", "".join(f'{{"key{i}": 1}}\n' for i in range(30)))
     with pytest.raises(Exception, match="more than 20 column names"):
         track_json_columns(spark, f"{folder}/in", SchemaLog(spark, f"{folder}/schema"), f"{folder}/cp", max_columns=20)
+
+
+def test_unseen_columns_join_while_each_file_is_read_once(spark, folder):
+    from medallion.operators import ChangeLog
+    from medallion.sources import json_batches
+    from medallion.streaming.control import finish
+
+    def drop(name, *lines):
+        os.makedirs(f"{folder}/in", exist_ok=True)
+        with open(f"{folder}/in/{name}.json", "w") as file:
+            file.write("\n".join(lines))
+
+    log, rows = SchemaLog(spark, f"{folder}/schema"), ChangeLog(spark, f"{folder}/rows")
+    log.save(T.StructType.fromDDL("id long"))
+
+    def load():
+        writer = json_batches(spark, f"{folder}/in", log, rows.batch_appender("rows"), max_files=1)
+        return finish(writer.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start())
+
+    drop("a", '{"id": 1}', '{"id": "x", "n": "one"}', "no json")
+    assert [p["numInputRows"] for p in load()] == [3]
+    drop("b", '{"id": 2, "b": {"c": [1]}}', '{"id": 3, "n": null}')
+    drop("c", '{"id": 4}')
+    assert [p["numInputRows"] for p in load()] == [2, 1] and not any(p["numInputRows"] for p in load())
+    assert log.load().names == ["id", "n", "b"]
+    assert rows_of(rows.as_of().select("id", "n", "b", "_rescued_data")) == sorted(
+        [
+            (1, None, None, None),
+            (None, "one", None, '{"id":"x"}'),
+            (None, None, None, "no json"),
+            (2, None, '{"c":[1]}', None),
+            (3, None, None, None),
+            (4, None, None, None),
+        ],
+        key=repr,
+    )
