@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -53,13 +55,40 @@ def sampled(rows: DataFrame, key: str, size: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < int(share * (1 << 31))).limit(2 * size)
 
 
-def mapped(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` by workers that can import this package."""
+#: What a Python worker keeps from task to task: owner, key and value of one memory.
+_memory: list[tuple[str, object, object]] = []
+
+
+def remembered(owner: str, key: object, make: Callable[[], object]) -> object:
+    """The memory of ``owner`` for ``key``; a worker holds one, the one before it is let go."""
+    if not _memory or _memory[0][:2] != (owner, key):
+        _memory.clear()
+        _memory.append((owner, key, make()))
+    return _memory[0][2]
+
+
+def tidy(owner: str | None = None) -> None:
+    """Let go of a memory that is not ``owner``'s, and give freed blocks back to the system."""
+    if _memory and _memory[0][0] != owner:
+        _memory.clear()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def mapped(df: DataFrame, function: Callable, schema: str | T.StructType, owner: str | None = None) -> DataFrame:
+    """``mapInArrow`` by workers that can import this package; between tasks they keep the memory of ``owner`` alone."""
     environment = df.sparkSession.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
-    return df.mapInArrow(function, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy(owner)
+        yield from function(batches)
+        tidy(owner)
+
+    return df.mapInArrow(task, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from medallion.llm.files import NewFile, opened
-from medallion.llm.store import binary, mapped, sampled, stored
+from medallion.llm.store import binary, mapped, remembered, sampled, stored
 from medallion.llm.warc import train
 from medallion.session import scratch_dir
 
@@ -44,7 +44,7 @@ END_ID = 1
 #: Documented bounds: documents that train the dictionary, bytes of text of each, bytes of the dictionary, of a file.
 SAMPLE, SAMPLE_TEXT, DICTIONARY_BYTES, FILE_BYTES = 2000, 4096, 1 << 16, 64 << 20
 #: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 #: Letters that are one character each in lower case and in normal form: those of ASCII and Latin-1.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -89,14 +89,9 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_loaded: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
-    """One memory per worker and vocabulary."""
-    if path not in _loaded:
-        _loaded[path] = WordIds(path)
-    return _loaded[path]
+    """One memory per worker."""
+    return remembered("words", path, lambda: WordIds(path))
 
 
 def planes(ids: bytes) -> bytes:
@@ -195,9 +190,11 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_bytes: int
         if file is not None:
             yield closed()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(tasks, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").withColumn("hash", F.xxhash64("text"))
+    # range keys are sampled to the driver, so no text is one
+    ordered = ordered.repartitionByRange(tasks, "doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").drop("hash")
     schema = f"part long, number long, path string, doc_ids array<{kind.simpleString()}>, ids long"
-    return stored(ordered.transform(mapped, write, schema), "tokens-list"), path
+    return stored(ordered.transform(mapped, write, schema, "words"), "tokens-list"), path
 
 
 def read_tokens(files: DataFrame, dictionary_path: str) -> DataFrame:
