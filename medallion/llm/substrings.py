@@ -4,8 +4,8 @@ Every byte covered by a string of ``length`` bytes that also starts in a documen
 doc_id is removed. The strings of a text are dealt by content: the key of a string is the
 least hash of the runs of ``GRAM`` bytes in it, so equal strings have one key. Neighbouring strings
 of one key make a segment. Keys that lie in one document alone go no further; the segments of
-the others are sorted into shards by key. A shard's distinct segments make one text; its suffix
-array comes from induced sorting, and permuted common prefixes of ``length`` bytes or more
+the others are sorted into shards by key. Alike segments are one; those of a shard whose key has another one
+too make one text, whose suffix array comes by induced sorting, and permuted common prefixes of ``length`` bytes or more
 cut it into intervals of equal strings. The smallest doc_id of an interval decides which of
 its places are removed.
 
@@ -42,7 +42,7 @@ LENGTH = 50
 #: Bytes whose hash may become a key; strings of one segment.
 GRAM, RUN = 16, 64
 #: Bytes of texts in a slice file; bytes of segments sorted at once; segments of a key in one shard.
-SLICE, SHARD, PIECE = 4 << 20, 4 << 20, 32768
+SLICE, SHARD, PIECE = 4 << 20, 3 << 20, 32768
 _LAST = np.iinfo(np.int64).max
 
 Segments = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -96,6 +96,15 @@ def cut_out(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[places])])
 
 
+def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    return keys.astype("<u8").tobytes() + counts.astype("<i4").tobytes()
+
+
+def unpacked(pack: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(pack) // 12
+    return np.frombuffer(pack, "<u8", n), np.frombuffer(pack, "<i4", n, 8 * n)
+
+
 def _written(docs: DataFrame) -> tuple[str, DataFrame]:
     """Slice files with doc_id and text of consecutive rows, and the stored list of their numbers."""
     folder = scratch_dir(docs.sparkSession, "llm-slices")
@@ -145,8 +154,6 @@ def _parts(folder: str, number: int, length: int) -> Iterator[tuple]:
 
 def _shared(folder: str, listed: DataFrame, length: int, tasks: int) -> DataFrame:
     """For each slice the keys that more than one document has, with the shards that each is dealt over."""
-    counted = np.dtype([("key", "<u8"), ("n", "<i4")])
-
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Keys of a slice by bucket; a count below 0 tells that several documents of the slice have the key."""
         for batch in batches:
@@ -157,26 +164,24 @@ def _shared(folder: str, listed: DataFrame, length: int, tasks: int) -> DataFram
                 key, doc = key[order], doc[order]
                 first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
                 after = np.append(first[1:], len(key)) if len(key) else first
-                rows = np.empty(len(first), dtype=counted)
-                rows["key"] = key[first]
-                rows["n"] = np.where(doc[first] != doc[after - 1], first - after, after - first)
-                bucket = ((rows["key"] >> U64(32)) * U64(tasks) >> U64(32)).astype(np.int32)
+                key, n = key[first], np.where(doc[first] != doc[after - 1], first - after, after - first)
+                bucket = ((key >> U64(32)) * U64(tasks) >> U64(32)).astype(np.int32)
                 cuts = np.searchsorted(bucket, np.arange(tasks + 1))
                 there = np.flatnonzero(np.diff(cuts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(there.astype(np.int32)),
                         pa.array(np.full(len(there), number)),
-                        pa.array([rows[cuts[b] : cuts[b + 1]].tobytes() for b in there], type=pa.binary()),
+                        pa.array([packed(key[cuts[b] : cuts[b + 1]], n[cuts[b] : cuts[b + 1]]) for b in there], type=pa.binary()),
                     ],
                     ["bucket", "slice", "keys"],
                 )
 
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, pack in zip(batch.column("slice").to_pylist(), batch.column("keys")):
-                rows = np.frombuffer(pack.as_py(), dtype=counted)
-                columns = [rows["key"].view(np.int64), np.full(len(rows), number), rows["n"].copy()]
+                key, n = unpacked(pack.as_py())
+                columns = [key.view(np.int64), np.full(len(key), number), n]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "slice", "n"])
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,21 +193,19 @@ def _shared(folder: str, listed: DataFrame, length: int, tasks: int) -> DataFram
             wanted = (rows > 1) | (np.minimum.reduceat(n, first) < 0)
             pieces = -(-np.add.reduceat(np.abs(n).astype(np.int64), first) // PIECE)
             wanted, pieces = np.repeat(wanted, rows), np.repeat(pieces, rows)
-            out = np.empty(int(wanted.sum()), dtype=counted)
-            out["key"], out["n"] = key[wanted].view(U64), pieces[wanted]
-            number = number[wanted]
-            order = np.argsort(number, kind="stable")
-            out, number = out[order], number[order]
+            wanted = np.flatnonzero(wanted)
+            wanted = wanted[np.argsort(number[wanted], kind="stable")]
+            key, number, pieces = key[wanted].view(U64), number[wanted], pieces[wanted]
             each, starts = np.unique(number, return_index=True)
             ends = np.append(starts[1:], len(number))
-            packs = [out[a:b].tobytes() for a, b in zip(starts, ends)]
+            packs = [packed(key[a:b], pieces[a:b]) for a, b in zip(starts, ends)]
             yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(packs, type=pa.binary())], ["slice", "keys"])
 
     return (
         listed.repartition(tasks, "slice")
         .transform(mapped, keys, "bucket int, slice long, keys binary")
         .repartitionById(tasks, "bucket")
-        .transform(mapped, unpacked, "key long, slice long, n int")
+        .transform(mapped, flat, "key long, slice long, n int")
         .sortWithinPartitions("key")
         .transform(mapped, several, "slice long, keys binary")
         .repartition(tasks, "slice")
@@ -231,20 +234,19 @@ def whole_groups(batches: Iterator[pa.RecordBatch], rows: int, size: int | None
 
 
 def _segment_rows(folder: str, shared: DataFrame, length: int) -> DataFrame:
-    counted = np.dtype([("key", "<u8"), ("n", "<i4")])
+    """Segments of the shared keys; ``place`` is text number and first byte, a slice's number is inverted for a dealt key."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, packs in zip(batch.column("slice").to_pylist(), batch.column("keys").to_pylist()):
-                rows = np.concatenate([np.frombuffer(p, dtype=counted) for p in packs])
-                rows = rows[np.argsort(rows["key"])]
-                if not len(rows):
-                    continue
+                wanted, dealt = (np.concatenate(x) for x in zip(*map(unpacked, packs)))
+                order = np.argsort(wanted)
+                wanted, dealt = wanted[order], dealt[order]
                 for first, ids, data, offsets, (key, text, at, n) in _parts(folder, number, length):
-                    place = np.minimum(np.searchsorted(rows["key"], key), len(rows) - 1)
-                    kept = np.flatnonzero(rows["key"][place] == key)
+                    place = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+                    kept = np.flatnonzero(wanted[place] == key)
                     key, text, at, n, place = (x[kept] for x in (key, text, at, n, place))
-                    pieces = rows["n"][place].astype(U64)
+                    pieces = dealt[place].astype(U64)
                     mix = mixed(at.astype(U64) + mixed(U64(number) + (first + text).astype(U64)))
                     shard = np.where(pieces > 1, U64(1) + mix % pieces, U64(0)).astype(np.int32)
                     for low in range(0, len(kept), 8192):
@@ -252,45 +254,66 @@ def _segment_rows(folder: str, shared: DataFrame, length: int) -> DataFrame:
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array(mixed(key[part] + mixed(shard[part].astype(U64))).view(np.int64)),
-                                pa.array(shard[part] > 0),
                                 pa.array(ids[text[part]]),
-                                pa.array(np.full(len(key[part]), number)),
-                                pa.array((first + text[part]).astype(np.int32)),
-                                pa.array((at[part] - offsets[text[part]]).astype(np.int32)),
+                                pa.array(np.where(shard[part] > 0, ~number, number)),
+                                pa.array((first + text[part]) << 32 | (at[part] - offsets[text[part]])),
                                 cut_out(data, at[part], n[part] + length - 1),
                             ],
-                            ["shard", "open", "doc", "slice", "text", "at", "bytes"],
+                            ["shard", "doc", "slice", "place", "bytes"],
                         )
 
-    return shared.transform(mapped, cut, "shard long, open boolean, doc long, slice long, text int, at int, bytes binary")
+    return shared.transform(mapped, cut, "shard long, doc long, slice long, place long, bytes binary")
+
+
+def ranges_by_slice(number: np.ndarray, text: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[pa.Array]:
+    """Slices, and for each of them its texts' numbers with the first byte removed and the first byte after it."""
+    order = np.argsort(number, kind="stable")
+    each, starts = np.unique(number[order], return_index=True)
+    rows = np.stack([text, low, high], axis=1).astype("<i4")[order]
+    packs = [rows[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(rows)))]
+    return [pa.array(each), pa.array(packs, type=pa.binary())]
 
 
 def _judged(rows: DataFrame, length: int, tasks: int) -> DataFrame:
-    """Removed places (slice, text, low, high); of dealt keys the intervals, with all their places, instead."""
+    """Removed ranges by slice; of dealt keys the intervals, with all their places, instead."""
     place = np.dtype([("doc", "<i8"), ("slice", "<i8"), ("text", "<i4"), ("at", "<i4")])
     schema = pa.schema(
-        [("slice", pa.int64()), ("text", pa.int32()), ("low", pa.int32()), ("high", pa.int32())]
-        + [("string", pa.binary()), ("first", pa.int64()), ("places", pa.binary())]
+        [("slice", pa.int64()), ("ranges", pa.binary()), ("string", pa.binary()), ("first", pa.int64()), ("places", pa.binary())]
     )
 
     def closed(number: np.ndarray, text: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
-        n = len(number)
-        columns = [pa.array(number), pa.array(text), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))]
-        return pa.RecordBatch.from_arrays([*columns, *(pa.nulls(n, schema.field(i).type) for i in (4, 5, 6))], schema=schema)
+        columns = ranges_by_slice(number, text, low, high)
+        nulls = [pa.nulls(len(columns[0]), schema.field(i).type) for i in (2, 3, 4)]
+        return pa.RecordBatch.from_arrays([*columns, *nulls], schema=schema)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_groups(batches, 0, SHARD):
-            is_open, doc, number, text, at = (part.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6))
+            doc, number, spot = (part.column(i).to_numpy() for i in range(1, 4))
+            is_open = number < 0
+            number, text, at = np.where(is_open, ~number, number), spot >> 32, spot & 0xFFFFFFFF
             found = part.column("bytes").dictionary_encode()
             of = found.indices.to_numpy()
-            data, offsets = texts_of(found.dictionary)
+            earliest = np.full(len(found.dictionary), _LAST)
+            np.minimum.at(earliest, of, doc)
+            # alike segments are one; a key's only one has nothing to be sorted with
+            key, dealt = np.empty(len(earliest), dtype=np.int64), np.zeros(len(earliest), dtype=bool)
+            key[of], dealt[of] = part.column(0).to_numpy(), is_open
+            _, which, several = np.unique(key, return_inverse=True, return_counts=True)
+            sorts = (several[which] > 1) | dealt
+            lengths = pc.binary_length(found.dictionary).to_numpy()
+            whole = np.flatnonzero(~sorts[of] & (doc > earliest[of]))
+            yield closed(number[whole], text[whole], at[whole], at[whole] + lengths[of[whole]])
+            rest = np.flatnonzero(sorts[of])
+            if not len(rest):
+                continue
+            is_open, doc, number, text, at = (x[rest] for x in (is_open, doc, number, text, at))
+            of, earliest = (np.cumsum(sorts) - 1)[of[rest]], earliest[sorts]
+            data, offsets = texts_of(found.dictionary.filter(pa.array(sorts)))
             sizes = np.diff(offsets)
             # all segments in one text, each ended by a symbol below all bytes
             ends = offsets[1:] + np.arange(1, len(sizes) + 1)
             joined = np.zeros(len(data) + len(sizes), dtype=np.int16)
             joined[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data.astype(np.int16) + 1
-            earliest = np.full(len(sizes), _LAST)
-            np.minimum.at(earliest, of, doc)
             sa = suffix_array(joined, 257)
             fresh = permuted_prefixes(joined, sa)[sa] < length
             segment = np.repeat(np.arange(len(sizes)), sizes + 1)
@@ -338,17 +361,17 @@ def _judged(rows: DataFrame, length: int, tasks: int) -> DataFrame:
                     source = strings[cuts[each]]
                     values = cut_out(data, source - segment[source], np.full(len(each), length))
                     packs = pa.array([places[a:b].tobytes() for a, b in zip(starts, stops)], type=pa.binary())
-                    nulls = [pa.nulls(len(each), schema.field(i).type) for i in range(4)]
+                    nulls = [pa.nulls(len(each), schema.field(i).type) for i in range(2)]
                     yield pa.RecordBatch.from_arrays([*nulls, values, pa.array(first[each]), packs], schema=schema)
 
-    columns = "slice long, text int, low int, high int, string binary, first long, places binary"
+    columns = "slice long, ranges binary, string binary, first long, places binary"
     return (
         rows.repartition(tasks, "shard").sortWithinPartitions("shard").transform(mapped, judge, columns)
     )
 
 
 def _of_dealt_keys(judged: DataFrame, length: int) -> DataFrame:
-    """Removed places of the keys that several shards hold."""
+    """Removed ranges of the keys that several shards hold."""
     place = np.dtype([("doc", "<i8"), ("slice", "<i8"), ("text", "<i4"), ("at", "<i4")])
 
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,16 +380,13 @@ def _of_dealt_keys(judged: DataFrame, length: int) -> DataFrame:
             if packs:
                 rows = np.concatenate(packs)
                 rows = rows[rows["doc"] > np.repeat(batch.column("least").to_numpy(), [len(p) for p in packs])]
-                at = rows["at"].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["slice"].copy()), pa.array(rows["text"].copy()), pa.array(at), pa.array(at + np.int32(length))],
-                    ["slice", "text", "low", "high"],
-                )
+                columns = ranges_by_slice(rows["slice"], rows["text"], rows["at"], rows["at"] + length)
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "ranges"])
 
     dealt = judged.where("string IS NOT NULL")
     least = stored(dealt.groupBy("string").agg(F.min("first").alias("least")), "strings")
     both = dealt.select("string", "places").join(least, "string").select("least", "places")
-    return both.transform(mapped, later, "slice long, text int, low int, high int")
+    return both.transform(mapped, later, "slice long, ranges binary")
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -375,24 +395,20 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     folder, listed = _written(docs)
     shared = _shared(folder, listed, length, tasks)
     judged = stored(_judged(_segment_rows(folder, shared, length), length, tasks), "judged")
-    ranges = judged.where("string IS NULL").select("slice", "text", "low", "high")
-    ranges = ranges.unionByName(_of_dealt_keys(judged, length)).unionByName(
-        listed.select("slice", *[F.lit(0).alias(c) for c in ("text", "low", "high")])
-    )
+    ranges = judged.where("string IS NULL").select("slice", "ranges").unionByName(_of_dealt_keys(judged, length))
+    ranges = ranges.unionByName(listed.select("slice", F.lit(b"").alias("ranges")))
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, low, high, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                ranges = [np.array(x, dtype=np.int64) for x in (low, high, text)]
+            for number, packs in zip(batch.column("slice").to_pylist(), batch.column("ranges").to_pylist()):
+                text, low, high = np.frombuffer(b"".join(packs), "<i4").reshape(-1, 3).T.astype(np.int64)
                 first = 0
                 for part in _read(folder, number):
-                    here = (ranges[2] >= first) & (ranges[2] < first + len(part))
-                    yield without(part, *(x[here] for x in ranges[:2]), ranges[2][here] - first)
+                    here = (text >= first) & (text < first + len(part))
+                    yield without(part, low[here], high[here], text[here] - first)
                     first += len(part)
 
-    grouped = ranges.repartition(tasks, "slice").groupBy("slice").agg(
-        *[F.collect_list(c).alias(c) for c in ("low", "high", "text")]
-    )
+    grouped = ranges.repartition(tasks, "slice").groupBy("slice").agg(F.collect_list("ranges").alias("ranges"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     kind = docs.schema["doc_id"].dataType
     return grouped.transform(mapped, cleaned, out).withColumn("doc_id", F.col("doc_id").cast(kind))

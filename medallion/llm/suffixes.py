@@ -5,20 +5,21 @@ leftmost S place follows an L. The substrings between leftmost S places are sort
 get names in that order, and the string of names is sorted by the same function unless all
 names differ. Their order then induces that of all suffixes in two linear passes, larger ones
 from left to right and smaller ones from right to left. A pass takes a bucket of equal first symbols
-at once; names are written as two digits each for that, so that there are few buckets. Where this
-would not shorten the string, a pass takes a place at a time.
+at once; names are written as two digits each for that, so that there are few buckets. The recursion
+ends with a short string of names, or one that digits would not shorten: its suffixes are ordered by ranks of
+1, 2, 4 ... names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Up to this many symbols a pass goes bucket by bucket.
+#: A pass over more buckets than this would be slow.
 FEW_SYMBOLS = 1024
 #: Names are written as digits if the next string of names is shorter by this factor.
 SHORTER = 0.9
-#: Strings of names up to this length are sorted a place at a time.
-SHORT = 65536
+#: Strings of names up to this length end the recursion.
+SHORT = 1 << 17
 
 
 def smaller(s: np.ndarray) -> np.ndarray:
@@ -30,7 +31,7 @@ def smaller(s: np.ndarray) -> np.ndarray:
     return step[at] > 0
 
 
-def _by_bucket(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, symbols: int) -> np.ndarray:
+def _induced(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, symbols: int) -> np.ndarray:
     sizes = np.bincount(s, minlength=symbols)
     ends = np.cumsum(sizes)
     starts = ends - sizes
@@ -80,37 +81,18 @@ def _by_bucket(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, symbols: int) -
     return sa
 
 
-def _by_place(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, symbols: int) -> np.ndarray:
-    ends = np.cumsum(np.bincount(s, minlength=symbols))
-    text, small = s.tolist(), is_s.tolist()
-    n = len(text)
-    sa = np.full(n, -1, dtype=np.int64)
-    of = s[lms]
-    # leftmost S places at the ends of their buckets, in order
-    count = np.bincount(of, minlength=symbols)
-    sa[np.arange(len(lms)) + (ends - np.cumsum(count))[of]] = lms
-    sa = sa.tolist()
-    heads = (ends - np.bincount(s, minlength=symbols)).tolist()
-    to = text[n - 1]
-    sa[heads[to]] = n - 1
-    heads[to] += 1
-    for j in sa:
-        if j > 0 and not small[j - 1]:
-            to = text[j - 1]
-            sa[heads[to]] = j - 1
-            heads[to] += 1
-    tails = ends.tolist()
-    for at in range(n - 1, -1, -1):
-        j = sa[at]
-        if j > 0 and small[j - 1]:
-            to = text[j - 1]
-            tails[to] -= 1
-            sa[tails[to]] = j - 1
-    return np.array(sa, dtype=np.int64)
-
-
-def _induced(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, symbols: int) -> np.ndarray:
-    return (_by_bucket if symbols <= FEW_SYMBOLS else _by_place)(s, is_s, lms, symbols)
+def _doubled(s: np.ndarray) -> np.ndarray:
+    """Suffixes in order by ranks of runs of 1, 2, 4 ... symbols."""
+    rank, size = s.astype(np.int64), 1
+    while True:
+        key = rank * (int(rank.max()) + 2)
+        key[: len(s) - size] += rank[size:] + 1
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+        if new[-1] + 1 == len(s):
+            return order
+        rank[order], size = new, 2 * size
 
 
 def _names(s: np.ndarray, ordered: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -133,12 +115,13 @@ def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     n = len(s)
     if n < 2:
         return np.arange(n)
-    if symbols > FEW_SYMBOLS and n > SHORT:
+    if symbols > FEW_SYMBOLS:
         base = int(np.ceil(np.sqrt(symbols)))
         digits = np.stack([s // base, s % base], axis=1).astype(np.int16).ravel()
-        if base <= FEW_SYMBOLS and np.count_nonzero(np.diff(smaller(digits).astype(np.int8)) > 0) < SHORTER * n:
-            found = suffix_array(digits, base)
-            return found[found % 2 == 0] // 2
+        if n <= SHORT or base > FEW_SYMBOLS or np.count_nonzero(np.diff(smaller(digits).astype(np.int8)) > 0) > SHORTER * n:
+            return _doubled(s)
+        found = suffix_array(digits, base)
+        return found[found % 2 == 0] // 2
     is_s = smaller(s)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     if not len(lms):
@@ -157,12 +140,34 @@ def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     if last and names[last - 1] == names[last]:
         names[last:] += 1
     if names[-1] + 1 < len(lms):
-        reduced = np.empty(len(lms), dtype=np.int64)
-        reduced[place[ordered]] = names
-        ordered = lms[suffix_array(reduced, int(names[-1]) + 1)]
+        ordered = lms[_recursed(names, place[ordered])]
     return _induced(s, is_s, ordered, symbols)
 
 
+def _recursed(names: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of the string of names; ``names`` are in order, ``place`` tells where each stands.
+
+    A name that occurs once settles its place, and no comparison goes beyond it. So of several such names in a row
+    only the first takes part in the recursion.
+    """
+    n = len(names)
+    reduced, first = np.empty(n, dtype=np.int64), np.ones(n, dtype=bool)
+    reduced[place] = names
+    first[1:] = names[1:] != names[:-1]
+    alone = np.empty(n, dtype=bool)
+    alone[place] = first & np.append(first[1:], True)
+    kept = ~alone
+    kept[1:] |= ~alone[:-1]
+    kept = np.flatnonzero(kept)
+    used = np.zeros(int(names[-1]) + 1, dtype=bool)
+    used[reduced[kept]] = True
+    number = np.cumsum(used) - 1
+    found = kept[suffix_array(number[reduced[kept]], int(number[-1]) + 1)]
+    order = place.copy()
+    order[~alone[place]] = found[~alone[found]]
+    return order
+
+
 def permuted_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """For each place, how many symbols its suffix shares with the one before it in ``sa``.
 
