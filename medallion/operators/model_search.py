@@ -5,10 +5,9 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from medallion.operators.changelog import ChangeLog
 from medallion.operators.ranking import latest_for
 from medallion.session import literal_rows
 
+FLAGS = "_flags"
 TRIALS = "trial string, family string, params string, f1 double"
 FORMAT = "%Y-%m-%dT%H:%M:%S.%f"
 
@@ -30,6 +30,27 @@ def _families(target: str) -> list[tuple[str, object, list]]:
     ]
 
 
+def encoded(rows: DataFrame, target: str, numeric: list[str], categorical: list[str], slots: int) -> DataFrame:
+    """The target and a vector ``features``: the numbers, then each category as a one in one of ``slots`` places.
+
+    The place is a hash of column and category, so nothing is fitted: no category comes to the
+    driver however many there are, and what a fold learns from knows nothing of its other rows.
+    Rows without a target or with a missing cell are left out.
+    """
+    known = rows.select(
+        F.col(target).cast("double").alias(target),
+        *[F.col(c).cast("double").alias(c) for c in numeric],
+        *categorical,
+    ).dropna()
+    parts = list(numeric)
+    if categorical:
+        flags = FeatureHasher(
+            inputCols=list(categorical), outputCol=FLAGS, numFeatures=slots, categoricalCols=list(categorical)
+        )
+        known, parts = flags.transform(known), [*parts, FLAGS]
+    return VectorAssembler(inputCols=parts, outputCol="features").transform(known).select("features", target)
+
+
 def search_classifier(
     rows: DataFrame,
     target: str,
@@ -37,23 +58,13 @@ def search_classifier(
     categorical: list[str] = (),
     folds: int = 3,
     parallelism: int = 2,
+    slots: int = 1024,
 ) -> DataFrame:
-    """Cross-validate several classifiers; every trial with its mean F1, best first."""
-    known = rows.select(
-        F.col(target).cast("double").alias(target),
-        *[F.col(c).cast("double").alias(c) for c in numeric],
-        *categorical,
-    ).dropna()
-    codes = [f"{c}_code" for c in categorical]
-    flags = [f"{c}_flags" for c in categorical]
-    stages = []
-    if categorical:
-        stages += [
-            StringIndexer(inputCols=list(categorical), outputCols=codes, handleInvalid="keep"),
-            OneHotEncoder(inputCols=codes, outputCols=flags),
-        ]
-    stages.append(VectorAssembler(inputCols=[*numeric, *flags], outputCol="features"))
-    ready = Pipeline(stages=stages).fit(known).transform(known).select("features", target).persist()
+    """Cross-validate several classifiers; every trial with its mean F1, best first.
+
+    Categories are hashed into ``slots`` places, see :func:`encoded`.
+    """
+    ready = encoded(rows, target, numeric, list(categorical), slots).persist()
     judge = MulticlassClassificationEvaluator(labelCol=target, metricName="f1")
     trials = []
     try:

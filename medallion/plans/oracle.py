@@ -304,6 +304,7 @@ fresh AS (
         "bronze_json_stream": f"{_USERS} SELECT {RAW_NAMES}, {rescued} FROM users_src",
         "bronze_json_evolved": f"{_USERS} SELECT * FROM users_src",
         "copy_into_twice": f"{_USERS} SELECT try_cast(id AS bigint) AS id, {rest}, {copied} FROM users_src",
+        "copy_csv_twice": f"{_SPEND} SELECT *, {NO_RESCUE} FROM spend_src",
         "json_in_place": f"""{_USERS} SELECT count(*) AS users, count(DISTINCT id) AS ids,
             count(email) AS emails, count(*) FILTER (WHERE loyalty = 'gold') AS gold FROM users_src""",
         "spend_csv_int": f"{_SPEND} SELECT *, {NO_RESCUE} FROM spend_src",
@@ -381,6 +382,10 @@ fresh AS (
             CASE WHEN {EARLY} THEN spending_core + 1 ELSE spending_core END AS spending_core FROM gold""",
         "compact_table": f"{_GOLD} SELECT * FROM gold WHERE NOT {EARLY} AND NOT postcode < '00010'",
         "compact_files": "SELECT * FROM orders",
+        "pack_files": "SELECT * FROM orders",
+        "cluster_files": """SELECT f.filter, l_orderkey, l_linenumber, l_partkey, l_shipdate
+            FROM lineitem, (VALUES ('few'), ('early')) AS f(filter)
+            WHERE CASE f.filter WHEN 'few' THEN l_partkey <= 20 ELSE l_shipdate < DATE '1992-03-01' END""",
         "table_profile": _profile(),
         "frequent_values": _frequent(),
         "latest_orders": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,

@@ -40,10 +40,10 @@ from medallion.plans.retail import (
     Workspace,
 )
 from medallion.session import literal_rows, scratch_dir
-from medallion.sources.files import backdate, list_files, query_in_place, read_or_empty
+from medallion.sources.files import backdate, folder_bytes, list_files, query_in_place, read_or_empty
 from medallion.sources.json_lines import RESCUED
 from medallion.sources.schema import SchemaLog, json_batches
-from medallion.streaming.bulk import copy_into
+from medallion.streaming.bulk import LOAD, copy_into
 from medallion.streaming.control import finish
 from medallion.streaming.flows import append_to_table, run_flow
 from medallion.streaming.rules import kept_metrics, kept_rows
@@ -125,6 +125,16 @@ def copy_into_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def copy_csv_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files copied into a catalog table; the second load finds nothing new."""
+    source, space = landing(spark, sf_dir), Workspace.create(spark, "copy-csv")
+    name = space.name("spend_silver")
+    schema = T.StructType.fromDDL("id INT, age INT, annual_income INT, spending_core INT")
+    for _ in range(2):
+        copy_into(spark, name, source.spend, "csv", schema, f"{space.root}/checkpoints/copy")
+    return spark.table(name).drop(LOAD)
+
+
 def json_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = query_in_place(spark, landing(spark, sf_dir).users)
     return raw.agg(
@@ -399,6 +409,28 @@ def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_folder(spark, f"{root}/small", f"{root}/sized", cluster_by=["o_orderdate"])
 
 
+def pack_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small files to sized ones without a shuffle."""
+    root = scratch_dir(spark, "pack")
+    table(spark, sf_dir, "orders").repartition(32, "o_orderkey").write.parquet(f"{root}/small")
+    return compact_folder(spark, f"{root}/small", f"{root}/sized")
+
+
+def cluster_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items clustered by two columns at once; the rows that a filter on each of them finds."""
+    root, source = scratch_dir(spark, "cluster"), f"{sf_dir}/lineitem.parquet"
+    rows = compact_folder(
+        spark, source, root, target_bytes=max(1, folder_bytes(spark, source) // 64), cluster_by=["l_shipdate", "l_partkey"]
+    )
+    few = F.col("l_partkey") <= 20
+    early = F.col("l_shipdate") < F.lit("1992-03-01").cast("date")
+    found = [
+        rows.where(condition).select(F.lit(name).alias("filter"), "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+        for name, condition in (("few", few), ("early", early))
+    ]
+    return found[0].unionByName(found[1])
+
+
 # ---- profiles and rankings ---------------------------------------------------
 
 
@@ -659,6 +691,7 @@ def queries() -> dict[str, Query]:
         late_files,
         bronze_json_evolved,
         copy_into_twice,
+        copy_csv_twice,
         json_in_place,
         landing_inventory,
         spend_csv_int,
@@ -687,6 +720,8 @@ def queries() -> dict[str, Query]:
         gold_update,
         compact_table,
         compact_files,
+        pack_files,
+        cluster_files,
         preview,
         table_profile,
         landing_profile,

@@ -3,108 +3,135 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.casting import soft_cast
+from medallion.session import no_rows
 from medallion.sources.json_lines import RESCUED, misfits, rescued_text, throttled
 from medallion.sources.schema import SchemaLog
 
 CORRUPT = "_corrupt_record"
+OPEN_AT_ONCE = 16
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
-def _raw_cells(
-    spark: SparkSession, paths: list[str], header: list[str], check: bool
-) -> DataFrame:
-    """The files as strings; with ``check`` the scan fails on a file with another header."""
-    names = [*header, CORRUPT]
+def _raw_cells(spark: SparkSession, paths: list[str], width: int) -> DataFrame:
+    """The cells of files that have ``width`` columns as strings c0, c1, ..., by position."""
+    names = [*(f"c{i}" for i in range(width)), CORRUPT]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", not check)
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
     return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
 
 
-def _parse_cells(cells: DataFrame, header: list[str], schema: T.StructType) -> DataFrame:
+def _named_cells(
+    cells: list[Column], headers: list[list[str]]
+) -> tuple[Callable[[str], Column], Column]:
+    """How to find the cell of a name, and the map of all cells by name.
+
+    With one header both are fixed when the plan is made; with several a row finds its
+    file's header in column ``header``.
+    """
+    if len(headers) == 1:
+        places = dict(zip(headers[0], cells))
+        pairs = [part for name, cell in places.items() for part in (F.lit(name), cell)]
+        return lambda name: places.get(name, F.lit(None).cast("string")), F.create_map(*pairs)
+    row = F.array(*cells)
+    return lambda name: F.get(row, F.array_position("header", name) - 1), F.map_from_arrays("header", row)
+
+
+def _parse_cells(cells: DataFrame, headers: list[list[str]], schema: T.StructType) -> DataFrame:
     """Typed columns plus ``_rescued_data``.
 
     The reader keeps the whole line when its cell count differs from the header's.
     A short line only lacks values; a long one has cells no column can take, so
     the line is rescued under the name of the corrupt-record column.
     """
-    wide = ", ".join(f"c{i} STRING" for i in range(len(header) + 1))
-    overflow = F.from_csv(F.col(CORRUPT), wide)[f"c{len(header)}"]
+    width = len(headers[0])
+    find, named = _named_cells([F.col(f"c{i}") for i in range(width)], headers)
+    wide = ", ".join(f"c{i} STRING" for i in range(width + 1))
+    overflow = F.from_csv(F.col(CORRUPT), wide)[f"c{width}"]
     raw_line = F.when(overflow.isNotNull(), F.col(CORRUPT))
-    pairs = [part for name in header for part in (F.lit(name), F.col(f"`{name}`"))]
-    all_cells = F.create_map(*pairs, F.lit(CORRUPT), raw_line)
+    all_cells = F.map_concat(named, F.create_map(F.lit(CORRUPT), raw_line))
     kept = F.map_filter(all_cells, lambda name, cell: cell.isNotNull())
-    columns = [
-        (
-            soft_cast(F.col(f"`{f.name}`"), f.dataType)
-            if f.name in header
-            else F.lit(None).cast(f.dataType)
-        ).alias(f.name)
-        for f in schema
-        if f.name != RESCUED
-    ]
+    columns = [soft_cast(find(f.name), f.dataType).alias(f.name) for f in schema if f.name != RESCUED]
     cells = cells.withColumn("_misfits", misfits(kept, schema))
     return cells.select(*columns, rescued_text("_misfits").alias(RESCUED))
 
 
-def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First line of each file: (path, header). Paths come URL-encoded."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("position"),
-        "value",
-    )
-    first = lines.where("start = 0").groupBy("path")
-    return first.agg(F.min_by("value", "position").alias("header"))
-
-
-def header_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], list[str]]]:
-    """(header, files) per distinct header; at most one group per listed file."""
-    found = header_lines(spark, paths).groupBy("header").agg(F.collect_list("path").alias("paths"))
-    known = set(paths)
-    groups = []
-    for row in found.collect():
-        files = sorted(unquote(path) for path in row.paths)
-        if not known.issuperset(files):
-            raise ValueError(f"cannot tell which files these are: {set(files) - known}")
-        groups.append((spark.read.option("header", True).csv(files[0]).columns, files))
-    return sorted(groups)
+def header_lines(spark: SparkSession, paths: list[str]) -> list[str | None]:
+    """First line that is not blank of each file, None where there is none.
 
+    The driver opens every file and reads one buffer of it, many at a time: a scan cannot stop
+    after a line per file, and a stream has at most ``max_files`` files a batch.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(path: str) -> str | None:
+        file = jvm.org.apache.hadoop.fs.Path(path)
+        data, codec = file.getFileSystem(conf).open(file), codecs.getCodec(file)
+        data = codec.createInputStream(data) if codec else data
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8"))
+        try:
+            while (line := reader.readLine()) is not None and not line.strip():
+                pass
+            return line
+        finally:
+            reader.close()
 
-def is_header_mismatch(error: Exception) -> bool:
-    text = str(error)
-    return "CSV header does not conform" in text or "Number of column in CSV header" in text
+    with ThreadPoolExecutor(OPEN_AT_ONCE) as pool:
+        return list(pool.map(first, paths))
 
 
 Groups = list[tuple[list[str], list[str]]]
 
 
-def one_header(spark: SparkSession, paths: list[str]) -> Groups:
-    """The first file's header for all files; the scan has to check it."""
-    return [(spark.read.option("header", True).csv(paths[0]).columns, paths)]
+def header_groups(spark: SparkSession, paths: list[str]) -> Groups:
+    """(header, files) per distinct header; at most one group per listed file. Empty files have none."""
+    by_line: dict[str, list[str]] = {}
+    for path, line in zip(paths, header_lines(spark, paths)):
+        if line is not None:
+            by_line.setdefault(line, []).append(path)
+    names = lambda path: spark.read.option("header", True).csv(path).columns
+    return sorted((names(files[0]), sorted(files)) for files in by_line.values())
 
 
-def read_csv_groups(spark: SparkSession, groups: Groups, schema: T.StructType, check: bool) -> DataFrame:
+def read_csv_groups(spark: SparkSession, groups: Groups, schema: T.StructType) -> DataFrame:
     """Files by header group as typed columns by name, plus ``_rescued_data``.
 
-    With ``check`` the scan fails on a file whose header is not its group's.
+    Every file is read once, all files with the same number of columns in one scan. Where their
+    headers differ, a row looks its file's header up in a small table, a row per file.
     """
-    parts = [
-        _parse_cells(_raw_cells(spark, files, header, check), header, schema) for header, files in groups
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    by_width: dict[int, Groups] = {}
+    for header, files in groups:
+        by_width.setdefault(len(header), []).append((header, files))
+    parts = []
+    for width, same in sorted(by_width.items()):
+        headers = [header for header, _ in same]
+        cells = _raw_cells(spark, [path for _, files in same for path in files], width)
+        if len(headers) > 1:
+            listed = [(path, header) for header, files in same for path in files]
+            of_file = F.broadcast(spark.createDataFrame(listed, "path string, header array<string>"))
+            path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+            joined = cells.withColumn("path", path).join(of_file, "path", "left")
+            unknown = F.raise_error(F.concat(F.lit("no header known of "), "path")).cast("array<string>")
+            cells = joined.withColumn("header", F.coalesce("header", unknown))
+        parts.append(_parse_cells(cells, headers, schema))
+    return reduce(DataFrame.unionByName, parts) if parts else no_rows(spark, _with_rescue(schema))
+
+
+def _with_rescue(schema: T.StructType) -> T.StructType:
+    fields = [field for field in schema if field.name != RESCUED]
+    return T.StructType([*fields, T.StructField(RESCUED, T.StringType())])
 
 
 def read_csv_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    return read_csv_groups(spark, header_groups(spark, paths), schema, check=False)
+    return read_csv_groups(spark, header_groups(spark, paths), schema)
 
 
 def csv_batches(
@@ -118,31 +145,21 @@ def csv_batches(
     """A stream writer that hands new CSV files to ``sink(rows, batch_id)``.
 
     The stream carries file names only, and the driver sees at most ``max_files``
-    of them at a time. Files nearly always share one header, so that is tried
-    first and checked by the reader; a batch with mixed headers is read again,
-    grouped by header. ``sink`` must therefore be idempotent per batch id.
+    of them at a time, with their headers. ``sink`` must be idempotent per batch id.
 
     With ``evolve`` an unseen column joins the remembered schema, as text, and is
     part of ``rows`` from that batch on; without it its cells are rescued.
     """
 
-    def deliver(session: SparkSession, groups: Groups, check: bool, batch_id: int) -> None:
-        known = schema
-        if evolve is not None:
-            known = evolve.widen([name for header, _ in groups for name in header])
-        sink(read_csv_groups(session, groups, known, check), batch_id)
-
     def load(batch: DataFrame, batch_id: int) -> None:
         paths = sorted(row.path for row in batch.collect())
         if not paths:
             return
-        session = batch.sparkSession
-        try:
-            deliver(session, one_header(session, paths), True, batch_id)
-        except Exception as error:
-            if not is_header_mismatch(error):
-                raise
-            deliver(session, header_groups(session, paths), False, batch_id)
+        session, known = batch.sparkSession, schema
+        groups = header_groups(session, paths)
+        if evolve is not None:
+            known = evolve.widen([name for header, _ in groups for name in header])
+        sink(read_csv_groups(session, groups, known), batch_id)
 
     files = (
         throttled(spark.readStream, max_files)

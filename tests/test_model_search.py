@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from medallion.operators import ChangeLog
-from medallion.operators.model_search import RunTable, search_classifier
+from medallion.operators.model_search import RunTable, encoded, search_classifier
 
 
 def test_search_ranks_trials(spark):
@@ -13,6 +13,24 @@ def test_search_ranks_trials(spark):
     assert {trial.family for trial in trials} == {"logistic_regression", "random_forest"}
 
 
+def test_a_million_categories_are_hashed_not_collected(spark):
+    rows = spark.range(1_000_000).selectExpr(
+        "cast(id % 10 AS double) AS x", "concat('label ', id) AS c", "if(id % 3 = 0, true, null) AS b", "id % 2 AS y"
+    )
+    spark.sparkContext.setJobGroup("encode", "encode")
+    ready = encoded(rows, "y", ["x"], ["c", "b"], 64)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("encode")) == 0
+    assert ready.count() == 333_334
+    first = ready.first()
+    assert first.features.size == 65 and sum(first.features.toArray()[1:]) == 2
+
+
+def test_a_category_seen_only_outside_a_fold_is_no_error(spark):
+    rows = spark.range(60).selectExpr("concat('c', id) AS c", "cast(id % 2 AS double) AS x", "id % 2 AS y")
+    assert search_classifier(rows, "y", ["x"], ["c"], folds=2, slots=16).count() == 4
+
+
 def test_runs_are_reused_until_forgotten(spark, folder):
     runs, calls = RunTable(ChangeLog(spark, f"{folder}/runs")), []
 
