@@ -2,7 +2,7 @@
 
 The words of a source, its documents in a fixed order, are cut into blocks of ``block_words``
 words (the last one may be shorter). The blocks of the mix are apportioned to the sources by
-the highest quotients target / (2 * seats + 1). The method is house-monotone, so the seats
+the highest quotients target / (2 * seats + 1), the target in blocks of the source. The method is house-monotone, so the seats
 after the blocks of shard j minus those before it are non-negative integer quotas for every
 shard and source. Each source deals its blocks in the order of a seeded permutation, round after
 round, to the shards by their quotas.
@@ -34,6 +34,9 @@ MAX_SOURCES = 100_000
 #: Parts of a source whose running totals are made apart, so that no source is one task.
 SLOTS = 4096
 
+#: Words of a block unless told otherwise: a source is off its target by half a block or so.
+BLOCK_WORDS = 64
+
 #: A word, for Spark's own count.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -83,15 +86,17 @@ def plan(
 ) -> tuple[list[dict], int]:
     """Per source: name, size, target, blocks and the quota of each shard; and the words of a block.
 
-    Without ``block_words`` a block has a two-hundredth of the smallest source's words, at most 1024.
+    Seats are blocks, so a source's target counts in blocks of its own: ``block_words`` words, but for a
+    source shorter than that its only block is all it has.
     """
     totals = sorted(totals, key=lambda x: (x[0] is None, x[0] or ""))
     sizes = [n for _, n in totals]
     goals = targets(sizes, weights, limit)
-    block = block_words or min(1024, max(1, min((n for n in sizes if n), default=1) // 200))
+    block = block_words or BLOCK_WORDS
     blocks = [-(-n // block) for n in sizes]
-    seats, most = round(sum(goals) / block), [limit * n for n in blocks]
-    held = [sainte_lague(goals, seats * j // shards, most) for j in range(shards + 1)]
+    wanted = [g * b / n if n else 0.0 for g, b, n in zip(goals, blocks, sizes)]
+    seats, most = round(sum(wanted)), [limit * n for n in blocks]
+    held = [sainte_lague(wanted, seats * j // shards, most) for j in range(shards + 1)]
     return [
         {"source": name, "source_size": sizes[i], "target": goals[i], "blocks": blocks[i], "key": zlib.crc32(repr(name).encode())}
         | {"quotas": [after[i] - before[i] for before, after in zip(held, held[1:])]}
@@ -202,7 +207,8 @@ def mix(
 
 def mixed_documents(docs: DataFrame, seed: int = 1, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for every full round of a document's source, and one
-    whose text is the chosen blocks of the last round, each as it stands in the text, joined by a line end."""
+    whose text is the chosen blocks of the last round. Blocks that follow each other stay as they stand in the
+    text; others are joined by a line end."""
     given = {"weights": (1, 2, 3), "limit": 3, "block_words": None, "shards": 16} | options
     placed, block = _placed(docs, **given)
     text = docs.columns.index("text")
@@ -221,7 +227,10 @@ def mixed_documents(docs: DataFrame, seed: int = 1, **options) -> DataFrame:
                 at, n, on, whole = skip[mine], words[mine], chosen[mine], columns[text][i].as_py()
                 if not on.all():
                     found, data = words_of(pa.array([whole]), SPACED), whole.encode()
-                    whole = "\n".join(data[found.starts[a] : found.ends[a + k - 1]].decode() for a, k in zip(at[on], n[on]))
+                    begin, end = at[on], at[on] + n[on]
+                    apart = begin[1:] != end[:-1]
+                    runs = zip(begin[np.append(True, apart)], end[np.append(apart, True)])
+                    whole = "\n".join(data[found.starts[a] : found.ends[b - 1]].decode() for a, b in runs)
                 cuts.append(whole)
             index = pa.array(np.concatenate([rounds, some]).astype(np.int64))
             out = [c.take(index) for c in columns]

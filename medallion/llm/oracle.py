@@ -28,24 +28,26 @@ WITH urls AS (
     SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), {_AZ}) AS host,
            coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
     FROM pages),
+sites AS (SELECT *, regexp_replace(host, '{reputation.SITE}', '', 'g') AS site FROM urls),
 known AS (
     SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS outcome
     FROM labels GROUP BY doc_id),
 hosts AS (
-    SELECT host, count(outcome)::DOUBLE AS n, coalesce(sum(outcome), 0)::DOUBLE AS bad,
-           regexp_extract(host, '{reputation.DOMAIN}', 1) AS domain, regexp_extract(host, '{reputation.SUFFIX}', 1) AS suffix
-    FROM urls LEFT JOIN known USING (page_id) GROUP BY host),
+    SELECT site, count(outcome)::DOUBLE AS n, coalesce(sum(outcome), 0)::DOUBLE AS bad,
+           CASE WHEN regexp_matches(site, '{reputation.ADDRESS}') THEN site ELSE regexp_extract(site, '{reputation.DOMAIN}', 1) END AS domain,
+           CASE WHEN regexp_matches(site, '{reputation.ADDRESS}') THEN '{reputation.ADDRESSES}' ELSE regexp_extract(site, '{reputation.SUFFIX}', 1) END AS suffix
+    FROM sites LEFT JOIN known USING (page_id) GROUP BY site),
 {_level("suffixes", "root", "suffix", f'''SELECT suffix, sum(n) AS n, sum(bad) AS bad,
     ((SELECT sum(bad) FROM hosts) + {reputation.ROOT[0]}) / ((SELECT sum(n) FROM hosts) + {reputation.ROOT[1]}) AS rate FROM hosts GROUP BY suffix''')},
 {_level("domains", "suffixes", "domain, suffix", '''SELECT d.*, s.rate FROM
     (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix) d JOIN suffixes s USING (suffix)''')},
-{_level("posterior", "domains", "host", "SELECT h.host, h.n, h.bad, d.rate FROM hosts h JOIN domains d USING (domain, suffix)")}
+{_level("posterior", "domains", "site", "SELECT h.site, h.n, h.bad, d.rate FROM hosts h JOIN domains d USING (domain, suffix)")}
 SELECT page_id, host, path,
        CASE {" ".join(f"WHEN {fits} THEN '{name}'" for _, name, fits in _FITS)} END AS rule,
        CASE {" ".join(f"WHEN {fits} THEN '{kind}'" for kind, _, fits in _FITS)}
             WHEN rate - {reputation.Z} * sqrt(rate * (1 - rate) / (k + n + 1)) > {reputation.MAX_BAD} THEN 'block'
             ELSE 'allow' END AS verdict
-FROM urls LEFT JOIN posterior USING (host)
+FROM sites LEFT JOIN posterior USING (site)
 """
 
 EXACT = f"""

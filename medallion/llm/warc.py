@@ -115,21 +115,26 @@ def _id(urn: str | None) -> str | None:
 
 
 def frames(file) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of every record frame of an archive, each decoded by itself with the dictionary."""
-    magic, data = file.read(4), b""
-    dictionary = None
-    if magic == DICTIONARY_MAGIC:
-        (size,) = struct.unpack("<I", file.read(4))
-        held = file.read(size)
-        if len(held) != size:
-            raise ArchiveError("dictionary cut short")
-        if held[:4] == FRAME_MAGIC:
-            held = zstandard.ZstdDecompressor().decompressobj().decompress(held)
-        dictionary, data, at = zstandard.ZstdCompressionDict(held), b"", 8 + size
-    else:
-        data, at = magic, 0
-    decoder = zstandard.ZstdDecompressor(dict_data=dictionary)
-    while data or (data := file.read(READ)):
+    """Offset and content of every record frame of an archive, each decoded by itself with the dictionary.
+
+    A dictionary frame further on starts an archive that was joined to the one before it, and counts from there.
+    """
+    decoder, data, at = zstandard.ZstdDecompressor(), file.read(READ), 0
+    while data:
+        while len(data) < 8 and (more := file.read(READ)):
+            data += more
+        if data[:4] == DICTIONARY_MAGIC:
+            size = int.from_bytes(data[4:8], "little")
+            while len(data) < 8 + size and (more := file.read(READ)):
+                data += more
+            held = data[8 : 8 + size]
+            if len(data) < 8 + size:
+                raise ArchiveError("dictionary cut short")
+            if held[:4] == FRAME_MAGIC:
+                held = zstandard.ZstdDecompressor().decompressobj().decompress(held)
+            decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(held))
+            at, data = at + 8 + size, data[8 + size :] or file.read(READ)
+            continue
         frame, parts, start = decoder.decompressobj(), [], at
         while not frame.eof:
             if not data and not (data := file.read(READ)):
@@ -141,6 +146,7 @@ def frames(file) -> Iterator[tuple[int, bytes]]:
             at += len(data) - len(frame.unused_data)
             data = frame.unused_data
         yield start, b"".join(parts)
+        data = data or file.read(READ)
 
 
 def records(uri: str) -> Iterator[tuple[int, dict]]:

@@ -66,6 +66,24 @@ def test_reader_takes_raw_compressed_and_no_dictionary(folder):
         assert [x["payload"] for _, x in warc.records(uri)] == [b"hello"] * 2
 
 
+def test_reader_takes_archives_joined_end_to_end(folder):
+    other = warc.record("response", 2, "http://b/", "2000-01-01T00:00:00Z", b"bye" * 50, warc.digest_of(b"bye" * 50))
+    heads = (b"WARC/1.1\r\n" * 30, zstandard.ZstdCompressor().compress(b"Content-Length: " * 20), None, b"http://" * 40)
+    parts = [archive(folder, f"part{n}.warc.zst", GOOD, other, dictionary=head) for n, head in enumerate(heads)]
+    for order in ((0, 1), (1, 0, 3), (2, 0), (0, 2), (3, 3)):
+        whole = f"{folder}/joined{''.join(map(str, order))}.warc.zst"
+        with open(whole, "wb") as out:
+            for n in order:
+                out.write(open(parts[n].removeprefix("file:"), "rb").read())
+        found = list(warc.records(whole))
+        assert [x["payload"] for _, x in found] == [b"hello", b"bye" * 50] * len(order)
+        assert [at for at, _ in found] == sorted({at for at, _ in found})
+    with open(f"{folder}/cut.warc.zst", "wb") as out:
+        out.write(open(parts[2].removeprefix("file:"), "rb").read() + warc.DICTIONARY_MAGIC + b"\x40\0\0\0abc")
+    with pytest.raises(warc.ArchiveError, match="dictionary cut short"):
+        list(warc.records(f"{folder}/cut.warc.zst"))
+
+
 @pytest.mark.parametrize(
     "bad, told",
     [

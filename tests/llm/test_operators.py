@@ -192,6 +192,47 @@ def test_mix(spark, docs, texts, nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.mixed_documents(nothing).count() == 0
 
 
+def taken_by_hand(rows, block, shards=16, seed=1):
+    """(doc_id, words taken): every seat of a shard is dealt the next block of the source's permutation."""
+    by_source: dict = {}
+    for doc_id, source, text, slot in rows:
+        by_source.setdefault(source, []).append((slot, doc_id, len(brute.spaced(text))))
+    planned, _ = mixing.plan([(name, sum(n for *_, n in own)) for name, own in by_source.items()], block_words=block)
+    taken = {}
+    for source in planned:
+        words = [d for _, d, n in sorted(by_source[source["source"]]) for _ in range(n)]
+        cut = [words[i : i + block] for i in range(0, len(words), block)]
+        n = len(cut)
+        place = mixing.permuted(np.arange(n), np.full(n, n), np.full(n, source["key"] * 1000003 + seed))
+        deal = [cut[i] for i in np.argsort(place)]
+        taken.update(dict.fromkeys((d for _, d, _ in by_source[source["source"]]), 0))
+        for seat in range(sum(source["quotas"])):
+            for d in deal[seat % n]:
+                taken[d] += 1
+    return sorted(taken.items())
+
+
+def test_mix_with_a_source_of_ten_words(spark):
+    rows = [(i, "abc"[i % 3], prose(i, 40 + i % 90)) for i in range(300)]
+    rows += [(900, "tiny", prose(1, 10)), (901, None, prose(2, 100)), (902, "void", ""), (903, "void", None)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    slots = dict(table.selectExpr("doc_id", f"pmod(xxhash64(doc_id), {mixing.SLOTS})").collect())
+    for block in (mixing.BLOCK_WORDS, 7):
+        found = mixing.mix(table, block_words=block).collect()
+        want = taken_by_hand([(d, s, t, slots[d]) for d, s, t in rows], block)
+        assert sorted((r["doc_id"], r["taken"]) for r in found) == want
+        targets = {r["source_size"]: r["target"] for r in found}
+        for size, target in targets.items():
+            got = sum(r["taken"] for r in found if r["source_size"] == size)
+            assert abs(got - target) <= max(block, 0.01 * target), (size, target, got)
+    assert next(r["taken"] for r in found if r["doc_id"] == 900) % 10 == 0
+    texts = {d: t or "" for d, _, t in rows}
+    pieces = [(r["doc_id"], x) for r in mixing.mixed_documents(table).collect() for x in r["text"].split("\n")]
+    assert all(x in texts[d] for d, x in pieces)
+    short = [x for d, x in pieces if len(x.split(" ")) < min(mixing.BLOCK_WORDS, len(texts[d].split(" "))) // 4]
+    assert len(short) < 0.2 * len(pieces)
+
+
 def test_line_runs(spark, nothing):
     rng = random.Random(4)
     rows = [(i, "\n".join(f"line {rng.randrange(12)}" for _ in range(rng.randrange(30)))) for i in range(40)]
@@ -288,6 +329,35 @@ def test_reputation_rules_and_levels(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_registries_ports_and_addresses(spark):
+    hosts = ["a.b.example.co.uk", "example.co.uk", "co.uk", "x.y.ck", "www.ck", "z.www.ck", "10.0.0.1", "[::1]",
+             "city.kobe.jp", "a.c.kobe.jp", "uk", "", "plain", "x.unknown"]
+    rules = spark.createDataFrame([(r,) for r in ["co.uk", " UK ", "*.ck", "!www.ck", "jp", "*.kobe.jp", "!city.kobe.jp", "", None]], "rule string")
+    sites = spark.createDataFrame([(h,) for h in hosts], "site string")
+    got = {r["site"]: (r["domain"], r["suffix"]) for r in reputation.levels(sites, rules).collect()}
+    assert got == {
+        "a.b.example.co.uk": ("example.co.uk", "co.uk"), "example.co.uk": ("example.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+        "x.y.ck": ("x.y.ck", "y.ck"), "www.ck": ("www.ck", "ck"), "z.www.ck": ("www.ck", "ck"),
+        "10.0.0.1": ("10.0.0.1", "[]"), "[::1]": ("[::1]", "[]"), "city.kobe.jp": ("city.kobe.jp", "kobe.jp"),
+        "a.c.kobe.jp": ("a.c.kobe.jp", "c.kobe.jp"), "uk": ("uk", "uk"), "": ("", ""), "plain": ("plain", "plain"),
+        "x.unknown": ("x.unknown", "unknown"),
+    }
+    pattern = {r["site"]: (r["domain"], r["suffix"]) for r in reputation.levels(sites).collect()}
+    assert pattern["a.b.example.co.uk"] == ("example.co.uk", "co.uk") and pattern["10.0.0.1"] == ("10.0.0.1", "[]")
+    named = ["x.net:80", "me@x.net", "u:p@x.net:8080", "x.net.", "[::1]:443", "10.0.0.1:80", "x.net", ":80", ""]
+    found = spark.createDataFrame([(h,) for h in named], "host string").select("host", reputation.site_of(F.col("host")).alias("s"))
+    assert {r["host"]: r["s"] for r in found.collect()} == dict(
+        zip(named, ["x.net", "x.net", "x.net", "x.net", "[::1]", "10.0.0.1", "x.net", "", ""])
+    )
+    urls = [(i, f"http://bad.net:{8000 + i}/{i}") for i in range(40)] + [(99, "http://bad.net/")]
+    urls += [(200 + i, f"http://fine{i % 7}.net/{i}") for i in range(200)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    outcomes = spark.createDataFrame([(i, 1) for i in range(40)] + [(200 + i, 0) for i in range(200)], "page_id long, bad int")
+    for table in (None, rules):
+        judged = {r["page_id"]: r["verdict"] for r in reputation.filter_urls(pages, outcomes, suffixes=table).collect()}
+        assert judged[99] == judged[0] == "block" and judged[200] == "allow"
+
+
 @pytest.fixture(scope="module")
 def spoken(spark):
     syllables = {"aa": ["lo", "mi", "ra", "ne"], "bb": ["kst", "ur", "ög", "ent"], "cc": ["що", "ти", "ва", "ко"]}
