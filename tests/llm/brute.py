@@ -66,10 +66,18 @@ def warc(pages):
 
 
 def tokens(docs, path):
+    """Rows of one doc_id come in the order of Spark's xxhash64 of the text, then of the text."""
+    import xxhash
     from tokenizers import Tokenizer
 
+    def order(doc):
+        doc_id, text = doc
+        hashed = 42 if text is None else xxhash.xxh64(text.encode(), seed=42).intdigest()
+        hashed -= (hashed >> 63) << 64
+        return (doc_id is not None, doc_id or 0, hashed, text is not None, text or "")
+
     coder, start, out = Tokenizer.from_file(path), 0, []
-    for doc_id, text in sorted(docs, key=lambda d: (d[0] is not None, d[0], d[1] is not None, d[1])):
+    for doc_id, text in sorted(docs, key=order):
         ids = [*coder.encode(text or "", add_special_tokens=False).ids, 1]
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         start += len(ids)
