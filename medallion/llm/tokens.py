@@ -12,7 +12,7 @@ dictionary hash, seeks to the index at the end, and can decode any single docume
 Files are in ascending order of doc_id, within and across them.
 
 * null text: empty, so one end id; null doc_id: before all others
-* equal doc_id: in the order of their texts
+* equal doc_id: in the order of xxhash64 of their texts, then of the texts (a text is no range key)
 * no documents: no files; very long texts are one frame each, encoded word by word
 """
 
