@@ -13,6 +13,9 @@ from medallion.sources.files import TARGET_FILE_BYTES, folder_bytes, sized_parti
 
 DEAL = "_deal"
 CURVE = "_curve"
+FILE = "_file"
+#: Bytes of files whose rows a task sorts at once.
+SORT_BYTES = 32 * 1024 * 1024
 
 
 def _as_number(name: str, kind: T.DataType) -> Column:
@@ -79,7 +82,8 @@ def write_sized(
     several, so that row-group statistics let later filters on any of them skip files. Equal
     values fall into one range, so a hash of ``deal_by`` (columns unique per row; by default
     a row number taken at the scan) comes last in the range key and splits a value that fills
-    many files. Without ``cluster_by`` the same hash deals the rows, so a retried task deals alike.
+    many files. A file of more than ``SORT_BYTES`` is sorted in pieces by as many tasks, and then put
+    together, one piece after another in any order, so that no task sorts a whole file. Without ``cluster_by`` the same hash deals the rows, so a retried task deals alike.
     """
     size = int(folder_bytes(rows.sparkSession, source) * share)
     files = sized_partitions(size, target_bytes or TARGET_FILE_BYTES)
@@ -89,10 +93,13 @@ def write_sized(
         order = list(cluster_by)
         if len(order) > 1:
             dealt, order = with_curve(dealt, order), [CURVE]
-        placed = dealt.repartitionByRange(files, *order, DEAL).sortWithinPartitions(*order)
+        pieces = max(1, -(-size // (files * SORT_BYTES)))
+        placed = dealt.repartitionByRange(files * pieces, *order, DEAL).drop(DEAL).sortWithinPartitions(*order)
+        if pieces > 1:
+            placed = placed.withColumn(FILE, F.expr(f"int(spark_partition_id() div {pieces})")).repartitionById(files, F.col(FILE))
     else:
         placed = dealt.repartition(files, DEAL)
-    placed = placed.drop(DEAL, CURVE)
+    placed = placed.drop(DEAL, CURVE, FILE)
     placed.write.mode("overwrite").parquet(path)
     return files
 

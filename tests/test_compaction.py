@@ -7,6 +7,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from medallion.operators import compaction
 from medallion.operators.compaction import compact_folder, with_curve
 
 
@@ -65,3 +66,20 @@ def test_packing_small_files_takes_no_shuffle(spark, folder):
     assert len(got.inputFiles()) == 1
     sizes = compact_folder(spark, f"{folder}/small", f"{folder}/some", target_bytes=8000).inputFiles()
     assert 1 < len(sizes) < 20
+
+
+def test_large_clustered_files_are_sorted_in_pieces(spark, folder, monkeypatch):
+    rows = spark.range(0, 100_000, 1, 4).select("id", F.pmod(F.xxhash64("id"), F.lit(1000)).cast("int").alias("a"))
+    rows.write.parquet(f"{folder}/in")
+    monkeypatch.setattr(compaction, "SORT_BYTES", 32 << 10)
+    ranged, ranges = type(rows).repartitionByRange, []
+    monkeypatch.setattr(type(rows), "repartitionByRange", lambda self, n, *c: (ranges.append(n), ranged(self, n, *c))[1])
+    got = compact_folder(spark, f"{folder}/in", f"{folder}/out", 256 << 10, ["a"])
+    files = len(glob.glob(f"{folder}/out/*.parquet"))
+    assert 1 < files < 6 and ranges[0] >= 4 * files
+    assert rows_of(got.agg(F.count("*"), F.sum("id"), F.sum("a"))) == rows_of(rows.agg(F.count("*"), F.sum("id"), F.sum("a")))
+    met, total = files_that_may_hold(f"{folder}/out", "a", 10, 20)
+    assert met == 1 and total == files
+    place = got.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("n"), "a").orderBy("file", "n").collect()
+    falls = sum(x.a > y.a for x, y in zip(place, place[1:]) if x.file == y.file)
+    assert falls <= ranges[0]  # a piece stays in order
