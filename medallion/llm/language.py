@@ -10,7 +10,7 @@ Characters: letters in lower case with their marks; each run of anything else is
 is four numbers of 16 bits, so it is the gram itself; letters beyond the basic plane are hashed into
 the range of surrogates.
 
-Calibration, on a bounded sample of labelled texts: a temperature for the score, and for each
+Calibration, on all labelled texts: a temperature for the score, and for each
 language a limit of cross-entropy, wider for shorter texts, above which a text is rejected: far outside
 what the language's own texts have, and half way at least from there to that of random letters.
 
@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.llm.store import binary, mapped, remembered, sampled, slices, stored
+from medallion.llm.store import binary, mapped, remembered, slices, stored
 from medallion.llm.words import U64, mixed
 
 BLANK, START = 32, 0
 #: Documented bounds: grams in all models together (languages share them evenly; of each the most frequent are kept, by
-#: powers of two of their count), languages, texts that calibrate.
-MAX_GRAMS, MAX_LANGUAGES, CALIBRATION = 2_000_000, 256, 2000
+#: powers of two of their count), languages.
+MAX_GRAMS, MAX_LANGUAGES = 2_000_000, 256
 #: Slots of a worker's memory of scored grams, as a power of two.
 SLOT_BITS = 18
 
@@ -228,7 +228,7 @@ class LanguageModels(NamedTuple):
         return best, 1 / odds.sum(axis=1), least > limit
 
 
-def train(docs: DataFrame, max_grams: int = MAX_GRAMS, calibration: int = CALIBRATION) -> LanguageModels:
+def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> LanguageModels:
     """Models of all languages in ``docs`` (doc_id, lang, text); rows without a language are left out."""
     docs = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     counted = gram_counts(docs)
@@ -258,22 +258,40 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS, calibration: int = CALIBR
     blank = LanguageModels(languages, models, 1.0, np.zeros(len(models)), np.zeros(len(models)))
     if not models:
         return blank
-    sample = sampled(docs, "doc_id", calibration)
-    found = measured(sample, blank, ["lang"]).where("grams > 0").toArrow()
-    truth = np.searchsorted(languages, found["lang"].to_pylist())
-    counts, entropies = found["grams"].to_numpy(), np.array(found["entropies"].to_pylist())
-    means, deviations = np.zeros(len(models)), np.zeros(len(models))
-    for i in range(len(models)):
-        own = entropies[truth == i, i]
-        means[i], deviations[i] = (np.median(own), own.std()) if len(own) else (-blank.models[i].base, 0.0)
-    grid = 2.0 ** np.arange(-10, 1)
-    loss = [_loss(t, counts, entropies, truth) for t in grid]
-    return LanguageModels(languages, models, float(grid[int(np.argmin(loss))]), means, deviations)
-
-
-def _loss(temperature: float, counts: np.ndarray, entropies: np.ndarray, truth: np.ndarray) -> float:
+    return calibrated(docs, blank)
+
+
+def calibrated(docs: DataFrame, known: LanguageModels) -> LanguageModels:
+    """``known`` with temperature, means and deviations taken from all of ``docs`` (lang, text)."""
+    languages, grid = known.languages, 2.0 ** np.arange(-10, 1)
+
+    def lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            truth = np.searchsorted(languages, batch.column("lang").to_pylist()).astype(np.int64)
+            counts = batch.column("grams").to_numpy()
+            entropies = batch.column("entropies").flatten().to_numpy().reshape(len(batch), len(languages))
+            own = entropies[np.arange(len(truth)), truth]
+            losses = [_loss(t, counts, entropies, truth) for t in grid]
+            yield pa.RecordBatch.from_arrays([pa.array(truth), pa.array(own), *map(pa.array, losses)], ["at", "own", *names])
+
+    names = [f"loss{i}" for i in range(len(grid))]
+    scored = measured(docs, known, ["lang"]).where("grams > 0").select("lang", "grams", "entropies")
+    lost_ = scored.transform(mapped, lost, ", ".join(["at long, own double", *[f"{n} double" for n in names]]), "language")
+    # the median is a sketch of all texts; decimals add up alike in any order
+    sums = [F.sum(F.col(n).cast("decimal(26,12)")).alias(n) for n in names]
+    found = lost_.groupBy("at").agg(
+        F.percentile_approx("own", 0.5, 100_000).alias("mean"), F.stddev_pop("own").alias("deviation"), *sums
+    ).collect()  # a row per language
+    means, deviations = np.array([-m.base for m in known.models]), np.zeros(len(known.models))
+    for r in found:
+        means[r["at"]], deviations[r["at"]] = r["mean"], r["deviation"]
+    total = [sum(r[n] for r in found) for n in names]
+    return known._replace(temperature=float(grid[total.index(min(total))]), means=means, deviations=deviations)
+
+
+def _loss(temperature: float, counts: np.ndarray, entropies: np.ndarray, truth: np.ndarray) -> np.ndarray:
     bits = -temperature * counts[:, None] * (entropies - entropies.min(axis=1, keepdims=True))
-    return float((np.log2(np.exp2(bits).sum(axis=1)) - bits[np.arange(len(truth)), truth]).mean()) if len(truth) else 0.0
+    return np.log2(np.exp2(bits).sum(axis=1)) - bits[np.arange(len(truth)), truth]
 
 
 def scorer_of(known: LanguageModels) -> Scorer:
