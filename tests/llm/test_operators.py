@@ -307,6 +307,23 @@ def test_passages_at_every_place_of_the_smallest_text(spark):
     assert spans[1] == {(0, 60), (140, 200)} and spans[2] == {(30, 90)} and spans[3] == {(0, 60)}
 
 
+def test_spans_name_both_sides_once(spark):
+    part, whole = prose(1, 60, 10**6), prose(2, 70, 10**6)
+    rows = [(1, f"{part} {prose(102, 80, 10**6)}"), (2, f"{prose(3, 30, 10**6)} {part}"), (3, f"{part} {prose(4, 30, 10**6)}"),
+            (4, whole), (5, whole), (6, whole), (7, prose(5, 90, 10**6)), (None, part)]
+    got = passages.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id IS NOT NULL").collect()
+    assert sorted((r["doc_id"], r["start"], r["end"]) for r in got) == [(1, 0, 60), (2, 30, 90), (3, 0, 60), (4, 0, 70), (5, 0, 70), (6, 0, 70)]
+    assert {r["doc_id"]: (r["of_doc_id"], r["n_links"]) for r in got if r["doc_id"] > 3} == {4: (5, 2), 5: (4, 1), 6: (4, 1)}
+
+
+def test_near_copies_are_chained_with_few_others(spark):
+    rng, base = random.Random(4), prose(1, 200, 10**6).split(" ")
+    rows = [(i, " ".join(f"y{rng.randrange(30)}" if rng.random() < 0.04 else w for w in base)) for i in range(150)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"] for r in got} | {r["of_doc_id"] for r in got} == set(range(150))
+    assert len(got) <= 4 * len(rows)
+
+
 def test_reputation_rules_and_levels(spark):
     urls = [None, "no scheme", "HTTP://A.Example.COM", "https://example.com/en/x?y=/z", "http://www.example.com/en/?q",
             "http://x.net/es/1", "http://bad.org/1", "ftp://x.net:80/es/", "a://b://c/d#e"]
@@ -385,6 +402,20 @@ def test_language(spark, spoken):
     assert language.measured(spoken.select("doc_id", "text").limit(0), known, ["doc_id"]).count() == 0
 
 
+def test_language_is_calibrated_on_all_texts(spark):
+    rng = random.Random(3)
+    letters = {"aa": "abcdef", "bb": "cdefgh"}
+    rows = [(i, lang, "".join(rng.choice(letters[lang]) for _ in range(rng.randrange(4, 30)))) for i in range(5000) for lang in [rng.choice("ab") * 2]]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    known = language.train(docs)
+    own: dict[str, list] = {"aa": [], "bb": []}
+    for r in language.measured(docs, known, ["lang"]).collect():
+        own[r["lang"]].append(r["entropies"][known.languages.index(r["lang"])])
+    for i, lang in enumerate(known.languages):
+        assert known.deviations[i] == pytest.approx(np.std(own[lang]), rel=1e-9)
+        assert known.means[i] in own[lang] and known.means[i] == pytest.approx(np.median(own[lang]), abs=1e-3)
+
+
 def test_probabilities_sum_to_one():
     codes, _ = language.gram_codes(pa.array(["abra cadabra abracadabra", "barca"]))
     grams, n = np.unique(codes, return_counts=True)
