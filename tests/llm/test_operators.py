@@ -9,6 +9,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from medallion.llm import decontaminate, exact, language, lines, mixing, near, passages, reputation
+from medallion.llm.store import CLEANED, stored
 from medallion.llm.words import LETTERED, SPACED, grams, words_of
 
 import brute
@@ -324,6 +325,26 @@ def test_near_copies_are_chained_with_few_others(spark):
     assert len(got) <= 4 * len(rows)
 
 
+def test_passages_are_never_listed_by_pair_and_leave_no_matches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("medallion.llm.store.scratch_dir", lambda _, label: f"{tmp_path}/{label}")
+    part = prose(1, 60, 10**6)
+    rows = [(1, f"{part} {prose(2, 80, 10**6)} {part}"), (2, f"{prose(3, 30, 10**6)} {part}"), (None, f"{part} {prose(4, 30, 10**6)}")]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = got._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "collect_list" not in plan
+    assert {(r["doc_id"], r["start"], r["end"], r["of_doc_id"]) for r in got.collect()} == {(2, 30, 90, 1)}
+    assert {p.name for p in tmp_path.iterdir()} == {"llm-passage-texts", "llm-passage-classes", "llm-passages"}
+
+
+def test_stored_tables_may_free_their_shuffles(spark, tmp_path):
+    folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {x for x in folder.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    before, rows = shuffles(), spark.range(1000).repartition(4, "id")
+    assert sorted(r["id"] for r in stored(rows, "freed", cleaned=True).collect()) == list(range(1000))
+    assert not shuffles() - before
+    assert spark.conf.get(CLEANED, None) != "true"
+
+
 def test_reputation_rules_and_levels(spark):
     urls = [None, "no scheme", "HTTP://A.Example.COM", "https://example.com/en/x?y=/z", "http://www.example.com/en/?q",
             "http://x.net/es/1", "http://bad.org/1", "ftp://x.net:80/es/", "a://b://c/d#e"]
