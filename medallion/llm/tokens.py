@@ -43,7 +43,7 @@ END_ID = 1
 
 #: Documented bounds: documents that train the dictionary, bytes of text of each, bytes of the dictionary, of a file.
 SAMPLE, SAMPLE_TEXT, DICTIONARY_BYTES, FILE_BYTES = 2000, 4096, 1 << 16, 64 << 20
-#: Words whose ids a worker remembers.
+#: Words whose ids a worker remembers, in each of two memories.
 REMEMBERED = 200_000
 
 #: Letters that are one character each in lower case and in normal form: those of ASCII and Latin-1.
@@ -61,34 +61,50 @@ class WordIds(dict):
     """Ids of a word as bytes (u32), each encoded once.
 
     The vocabulary's normaliser and splitter never look past white space, nor past punctuation that ends a word
-    after a Latin letter or digit, so a text's ids are those of its words one after another.
+    after a Latin letter or digit, so a text's ids are those of its words one after another. A full memory becomes
+    the older one, where words that come again are found: only those that do not come for long are let go.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = self.tokenizer.model.tokenize
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        body, text = word.rstrip(_TAIL), word.decode()
-        if len(body) < len(word) and body and _ENDED.fullmatch(body.decode()[-1]):
-            ids = self[body] + self[word[len(body) :]]
-        elif not _WORD.fullmatch(text):
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        elif (low := text.lower()) != text:
-            ids = self[low.encode()]
-        else:  # nothing to normalise or to split: the model alone
-            found = self.tokenizer.model.tokenize(word.decode("latin-1").translate(_BYTES))
-            ids = np.array([t.id for t in found], dtype="<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._encoded(word)
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
+    def _encoded(self, word: bytes) -> bytes:
+        body = word.rstrip(_TAIL)
+        if len(body) < len(word) and body and (body[-1:].isalnum() or body[-1] > 0x7F and _ENDED.fullmatch(body.decode()[-1])):
+            return self[body] + self[word[len(body) :]]
+        if word.isalpha():  # of bytes: letters of ASCII alone
+            low, text = word.lower(), word.decode("ascii")
+        else:
+            text = word.decode()
+            if not _WORD.fullmatch(text):
+                return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            low, text = text.lower().encode(), word.decode("latin-1").translate(_BYTES)
+        if low != word:
+            return self[low]
+        return _packed([t.id for t in self.pieces(text)])  # nothing to normalise or to split: the model alone
+
     def encode(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def word_ids(path: str) -> WordIds:
     """One memory per worker."""
     return remembered("words", path, lambda: WordIds(path))

@@ -154,3 +154,14 @@ def test_single_documents_and_checks(spark, folder):
         broken.write(cut)
         with opened(broken.close()) as file, pytest.raises(ValueError, match=told):
             tokens.TokenFile(file, known)
+
+
+def test_words_that_come_again_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 8)
+    known, whole = tokens.WordIds(vocabulary_path()), tokens.WordIds(vocabulary_path())
+    asked, pieces = [], known.pieces
+    known.pieces = lambda text: asked.append(text) or pieces(text)
+    text = " ".join(f"the The {a}{b}b." for a in "abcdefgh" for b in "cdefghij") + " \u00c9t\u00e9, caf\u00e9 d'or 12 $$$ l'\u00e9t\u00e9."
+    ids = known.encode(text.encode())
+    assert asked.count("the") == 1 and len(known) <= 8
+    assert ids == np.array(whole.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
