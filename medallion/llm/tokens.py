@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from medallion.llm.files import NewFile, opened
-from medallion.llm.store import binary, mapped, remembered, sampled, stored
+from medallion.llm.store import mapped, remembered, sampled, slices, stored
 from medallion.llm.warc import train
 from medallion.session import scratch_dir
 
@@ -48,8 +49,12 @@ REMEMBERED = 200_000
 
 #: Letters that are one character each in lower case and in normal form: those of ASCII and Latin-1.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_ALL_LETTERS = "".join(chr(c) for c in range(0x100) if re.match(f"[{_LETTERS}]", chr(c)))
 _WORD, _ENDED = re.compile(f"[{_LETTERS}]+"), re.compile(f"[{_LETTERS}0-9]")
-_TAIL = b".,;:!?"
+_TAIL = ".,;:!?"
+#: Marks of ASCII that may end a word of such letters alone: the splitter takes a run of them as one piece.
+_MARKS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
+_MARKED = f"^[{_LETTERS}]+[!-/:-@\\[-`{{-~]*$"
 #: Characters that a byte-level vocabulary writes for bytes: printable ones stand for themselves, the others
 #: for the characters from 256 on, in order.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -70,35 +75,73 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces = self.tokenizer.model.tokenize
-        self.older: dict[bytes, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, word: bytes) -> bytes:
+    def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
-        if ids is None:
-            ids = self._encoded(word)
+        return self._kept(word, self._encoded(word) if ids is None else ids)
+
+    def _kept(self, word: str, ids: bytes) -> bytes:
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
-    def _encoded(self, word: bytes) -> bytes:
+    def _encoded(self, word: str) -> bytes:
+        if _WORD.fullmatch(word):
+            return self._of_letters([word.lower()])[0]
         body = word.rstrip(_TAIL)
-        if len(body) < len(word) and body and (body[-1:].isalnum() or body[-1] > 0x7F and _ENDED.fullmatch(body.decode()[-1])):
+        if len(body) < len(word) and body and _ENDED.fullmatch(body[-1]):
             return self[body] + self[word[len(body) :]]
-        if word.isalpha():  # of bytes: letters of ASCII alone
-            low, text = word.lower(), word.decode("ascii")
-        else:
-            text = word.decode()
-            if not _WORD.fullmatch(text):
-                return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            low, text = text.lower().encode(), word.decode("latin-1").translate(_BYTES)
-        if low != word:
-            return self[low]
-        return _packed([t.id for t in self.pieces(text)])  # nothing to normalise or to split: the model alone
+        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters in lower case: there is nothing to normalise or to split, the model does alone."""
+        pieces, out = self.pieces, []
+        for word in words:
+            ids = self.get(word)
+            if ids is None:
+                ids = self.older.get(word)
+                if ids is None:
+                    ids = _packed([t.id for t in pieces(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES))])
+                self._kept(word, ids)
+            out.append(ids)
+        return out
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        (ids,) = self.encode_all(pa.array([text.decode()]))
+        return ids.tobytes()
+
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of every text. Different words are looked up once: those of letters and marks by their letters in lower case."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        words = split.flatten().dictionary_encode()
+        known, used = words.dictionary, words.indices.to_numpy()
+        plain = pc.match_substring_regex(known, _MARKED)
+        rest, marked = known.filter(pc.invert(plain)), known.filter(plain)
+        letters = pc.utf8_lower(pc.ascii_rtrim(marked, characters=_MARKS)).dictionary_encode()
+        marks = pc.utf8_ltrim(marked, characters=_ALL_LETTERS).dictionary_encode()
+        lists = [column.to_numpy(zero_copy_only=False).tolist() for column in (letters.dictionary, marks.dictionary, rest)]
+        units = [b"", *self._of_letters(lists[0]), *(self[word] if word else b"" for part in lists[1:] for word in part)]
+        starts = 1 + np.cumsum([0, *map(len, lists)])
+        # a word is two units: its letters and its marks, or itself and none
+        plain, pairs = plain.to_numpy(zero_copy_only=False), np.zeros((len(known), 2), dtype=np.int64)
+        pairs[plain, 0], pairs[plain, 1] = starts[0] + letters.indices.to_numpy(), starts[1] + marks.indices.to_numpy()
+        pairs[~plain, 0] = starts[2] + np.arange(len(rest))
+        sizes = np.fromiter(map(len, units), np.int64, len(units)) // 4
+        ids = _gathered(np.frombuffer(b"".join(units), dtype="<u4"), sizes, pairs.ravel())
+        sizes = sizes[pairs].sum(axis=1)
+        ids, ends = _gathered(ids, sizes, used), np.append(0, np.cumsum(sizes[used]))
+        bounds = ends[split.offsets.to_numpy()].tolist()
+        return [ids[low:high] for low, high in zip(bounds, bounds[1:])]
+
+
+def _gathered(values: np.ndarray, sizes: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """The ``picked`` runs of ``values``, which are of ``sizes`` and lie one after another."""
+    starts, taken = np.cumsum(sizes) - sizes, sizes[picked]
+    ends = np.cumsum(taken)
+    return values[np.repeat(starts[picked] - ends + taken, taken) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -157,7 +200,7 @@ def dictionary_of(docs: DataFrame, vocabulary: str, sample: int = SAMPLE) -> byt
     picked = sampled(docs.where("text IS NOT NULL").select("doc_id", F.substring("text", 1, SAMPLE_TEXT).alias("text")), "doc_id", sample)
     texts = sorted(r["text"] for r in picked.select("text").collect())
     known = word_ids(vocabulary)
-    return train([planes(known.encode(text.encode())) for text in texts], DICTIONARY_BYTES)
+    return train([planes(ids.tobytes()) for ids in known.encode_all(pa.array(texts, type=pa.string()))], DICTIONARY_BYTES)
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_bytes: int = FILE_BYTES) -> tuple[DataFrame, str]:
@@ -187,14 +230,14 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_bytes: int
                 [pa.array([part]), pa.array([number]), pa.array([file.close()]), ids, pa.array([total])], ["part", "number", "path", "doc_ids", "ids"]
             )
 
-        for batch in batches:
+        for batch in slices(batches, "text"):
             id_type = batch.column("doc_id").type
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), binary(batch.column("text")).to_pylist()):
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), known.encode_all(batch.column("text"))):
                 if file is None:
                     file = NewFile(folder, f"tokens-{part:06d}-{number:04d}.tidz")
                     doc_ids, index, total = [], [], 0
                     file.write(MAGIC + hashlib.sha256(dictionary).digest())
-                ids = known.encode(text) + end
+                ids = found.tobytes() + end
                 frame = coder.compress(planes(ids))
                 index.append((file.written, len(frame), len(ids) // 4))
                 file.write(frame)

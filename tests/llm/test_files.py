@@ -3,6 +3,7 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from conftest import rows_of
@@ -165,3 +166,15 @@ def test_words_that_come_again_are_encoded_once(monkeypatch):
     ids = known.encode(text.encode())
     assert asked.count("the") == 1 and len(known) <= 8
     assert ids == np.array(whole.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_words_of_a_slice_are_looked_up_once_without_their_marks(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 2)
+    known, whole = tokens.WordIds(vocabulary_path()), tokens.WordIds(vocabulary_path())
+    asked, pieces = [], known.pieces
+    known.pieces = lambda text: asked.append(text) or pieces(text)
+    texts = [" ".join(f"{w}{m}" for m in ("", "***", "$$$", ",", "'", "?!", "#.") for w in ("one", "Two", "three", "Four", "ONE")), None, "", " \t", "four\ntwo <| x<|endoftext|> l'été"]
+    found = known.encode_all(pa.array(texts).slice(0))
+    assert [asked.count(w) for w in ("one", "two", "three", "four")] == [1] * 4
+    for text, ids in zip(texts, found):
+        assert ids.tolist() == whole.tokenizer.encode(text or "", add_special_tokens=False).ids
