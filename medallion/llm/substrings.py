@@ -5,8 +5,8 @@ doc_id is removed. The strings of a text are dealt by content: the key of a stri
 least hash of the runs of ``GRAM`` bytes in it, so equal strings have one key. Neighbouring strings
 of one key make a segment. Keys that lie in one document alone go no further; the segments of
 the others are sorted into shards by key. Alike segments are one; those of a shard whose key has another one
-too make one text, whose suffix array comes by induced sorting, and permuted common prefixes of ``length`` bytes or more
-cut it into intervals of equal strings. The smallest doc_id of an interval decides which of
+too make one text, whose suffix array comes by induced sorting and is cut into intervals of equal strings
+by comparing neighbours. The smallest doc_id of an interval decides which of
 its places are removed.
 
 A key of more segments than a shard may hold is dealt over several shards; each tells
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm.files import NewFile, opened
 from medallion.llm.store import binary, mapped, slices, stored
-from medallion.llm.suffixes import permuted_prefixes, suffix_array
+from medallion.llm.suffixes import differing, suffix_array
 from medallion.llm.words import U64, mixed
 from medallion.session import scratch_dir
 
@@ -43,6 +43,8 @@ LENGTH = 50
 GRAM, RUN = 16, 64
 #: Bytes of texts in a slice file; bytes of segments sorted at once; segments of a key in one shard.
 SLICE, SHARD, PIECE = 4 << 20, 3 << 20, 32768
+#: Strings whose keys are found at once.
+BLOCK = 1 << 14
 _LAST = np.iinfo(np.int64).max
 
 Segments = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -57,37 +59,55 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def least_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """For every string of ``length`` bytes the least hash of its runs of ``GRAM`` bytes, in blocks that stay in a core's cache."""
+    gram = min(GRAM, length)
+    width = length - gram + 1
+    strings = len(data) - length + 1
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data), "<u8", padded, strides=(1,))  # the eight bytes from every place on
+    out = np.empty(strings, dtype=U64)
+    for low in range(0, strings, BLOCK):
+        high = min(low + BLOCK, strings)
+        n = high - low + width - 1
+        least = np.full(n, gram, dtype=U64)
+        for i in range(low, low + gram - 7, 8):
+            least = mixed(least ^ eight[i : i + n])
+        for i in range(low + gram - gram % 8, low + gram):
+            least = mixed(least ^ padded[i : i + n].astype(U64))
+        step = 1
+        while 2 * step <= width:
+            least, step = np.minimum(least[:-step], least[step:]), 2 * step
+        if width > step:
+            least = np.minimum(least[: step - width], least[width - step :])
+        out[low:high] = least
+    return out
+
+
 def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> Segments:
     """Key, text number, first byte and number of strings of every segment, in order of the texts."""
-    gram = min(GRAM, length)
-    n = len(data)
-    if n < length:
+    if len(data) < length:
+        return np.empty(0, U64), *[np.empty(0, np.int64)] * 3
+    least = least_hashes(data, length)
+    begins, stops = offsets[:-1], np.maximum(offsets[1:] - (length - 1), offsets[:-1])
+    new = np.empty(len(least), dtype=bool)
+    new[0] = True
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    new[begins[begins < stops]] = True
+    for i in range(length - 1):  # strings that would end in the next text
+        beyond = offsets[1:] - 1 - i
+        new[beyond[(beyond >= begins) & (beyond < len(new))]] = False
+    first = np.flatnonzero(new)
+    if not len(first):
         return np.empty(0, U64), *[np.empty(0, np.int64)] * 3
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(U64)
-    eight = padded[:n].copy()
-    for i in range(1, 8):
-        eight |= padded[i : n + i] << U64(8 * i)
-    grams = n - gram + 1
-    least = np.full(grams, gram, dtype=U64)
-    for i in range(0, gram - 7, 8):
-        least = mixed(least ^ eight[i : i + grams])
-    for i in range(gram - gram % 8, gram):
-        least = mixed(least ^ padded[i : i + grams])
-    width, step = length - gram + 1, 1
-    while 2 * step <= width:
-        least, step = np.minimum(least[:-step], least[step:]), 2 * step
-    if width > step:
-        least = np.minimum(least[: step - width], least[width - step :])
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(least)]
-    at = np.flatnonzero(np.arange(len(least)) + length <= offsets[1:][text])
-    least, text = least[at], text[at]
-    new = np.ones(len(at), dtype=bool)
-    new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
-    i = np.arange(len(at))
-    since = i - np.maximum.accumulate(np.where(new, i, 0))
-    first = np.flatnonzero(since % RUN == 0)
-    counts = np.diff(np.append(first, len(at)))
-    return mixed(least[first] + U64(1)), text[first], at[first], counts
+    text = np.searchsorted(offsets, first, side="right") - 1
+    counts = np.minimum(np.append(first[1:], len(least)), stops[text]) - first
+    pieces = -(-counts // RUN)
+    if pieces.max() > 1:
+        whole = np.repeat(np.arange(len(first)), pieces)
+        number = np.arange(len(whole)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first, text, counts = first[whole] + RUN * number, text[whole], np.minimum(counts[whole] - RUN * number, RUN)
+    return mixed(least[first] + U64(1)), text, first, counts
 
 
 def cut_out(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -315,12 +335,11 @@ def _judged(rows: DataFrame, length: int, tasks: int) -> DataFrame:
             joined = np.zeros(len(data) + len(sizes), dtype=np.int16)
             joined[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data.astype(np.int16) + 1
             sa = suffix_array(joined, 257)
-            fresh = permuted_prefixes(joined, sa)[sa] < length
             segment = np.repeat(np.arange(len(sizes)), sizes + 1)
             is_string = (ends[segment] - 1 - np.arange(len(joined)) >= length)[sa]
-            interval = np.cumsum(fresh)[is_string]
             strings = sa[is_string]
-            cuts = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
+            # what is shorter than a string stands between no two that are equal
+            cuts = np.flatnonzero(differing(joined.astype(np.uint8), strings, length))
             counts = np.diff(np.append(cuts, len(strings)))
             first = np.minimum.reduceat(earliest[segment[strings]], cuts)
             # smallest doc_id and interval of every string, strings of a segment in a row

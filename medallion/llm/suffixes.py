@@ -87,7 +87,7 @@ def _doubled(s: np.ndarray) -> np.ndarray:
     while True:
         key = rank * (int(rank.max()) + 2)
         key[: len(s) - size] += rank[size:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal ones get one rank in any order
         key = key[order]
         new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
         if new[-1] + 1 == len(s):
@@ -191,3 +191,17 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
         lengths[active] += 1
     source = np.maximum.accumulate(np.where(derived, -1, i))
     return np.where(derived, lengths[source] - (i - source), lengths)
+
+
+def differing(s: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """True where the ``size`` bytes of ``s`` from a place on are not those from the place before it in ``places``."""
+    out = np.zeros(len(places), dtype=bool)
+    out[:1] = True
+    if not len(places):
+        return out
+    step = 8 if size >= 8 else 1
+    values = np.ndarray(len(s) - step + 1, f"u{step}", np.ascontiguousarray(s), strides=(1,))
+    for at in {*range(0, size - step, step), size - step}:
+        now = values[at:][places]
+        out[1:] |= now[1:] != now[:-1]
+    return out

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -89,6 +90,30 @@ def test_segments_hold_every_string_once():
             assert of.setdefault(bytes(data[a : a + length]), k) == k and offsets[t] <= a and a + length <= offsets[t + 1]
 
 
+def test_keys_of_strings_are_found_in_small_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    data, offsets = rng.integers(97, 100, 1 << 20).astype(np.uint8), np.arange(0, (1 << 20) + 1, 1 << 10)
+    tracemalloc.start()
+    whole = substrings.segments(data, offsets, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * len(data)
+    monkeypatch.setattr(substrings, "BLOCK", 1000)
+    assert all((a == b).all() for a, b in zip(whole, substrings.segments(data, offsets, 50)))
+
+
+@pytest.mark.parametrize("size", [1, 5, 8, 9, 16, 50])
+def test_neighbours_that_differ(size):
+    rng = np.random.default_rng(size)
+    s = rng.integers(0, 2, 400).astype(np.uint8)
+    s[200:330] = s[20:150]
+    order = sorted(range(len(s) - size + 1), key=lambda i: bytes(s[i:]))
+    texts = [bytes(s[i : i + size]) for i in order]
+    found = suffixes.differing(s, np.array(order), size)
+    assert found.tolist() == [True] + [a != b for a, b in zip(texts, texts[1:])]
+    assert not len(suffixes.differing(s, np.empty(0, np.int64), size))
+
+
 # ---- vector codes ------------------------------------------------------------
 
 
