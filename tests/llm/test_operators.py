@@ -336,6 +336,27 @@ def test_passages_are_never_listed_by_pair_and_leave_no_matches(spark, tmp_path,
     assert {p.name for p in tmp_path.iterdir()} == {"llm-passage-texts", "llm-passage-classes", "llm-passages"}
 
 
+def test_passages_of_texts_that_repeat_a_pair_of_words_are_few(spark):
+    rows = [(i, f"{prose(i, 20, 10**6)} {'left right ' * (100 + i)}{prose(100 + i, 20, 10**6)}") for i in range(1, 13)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    covered: dict[int, set] = {}
+    for r in got:
+        covered.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+        covered.setdefault(r["of_doc_id"], set()).update(range(r["of_start"], r["of_end"]))
+    assert len(got) <= 8 * len(rows)
+    assert all(covered[i].issuperset(range(20, 20 + 200)) for i in range(1, 13))
+
+
+def test_covering_passages_cover_what_all_cover():
+    rng = random.Random(6)
+    for _ in range(300):
+        found = [(a, a + rng.randrange(1, 20), b, b + rng.randrange(1, 20), 1) for a, b in ((rng.randrange(60), rng.randrange(60)) for _ in range(rng.randrange(12)))]
+        kept = passages.covering(found)
+        words = lambda rows, k: {w for x in rows for w in range(x[k], x[k + 1])}
+        assert set(kept) <= set(found) and all(words(kept, k) == words(found, k) for k in (0, 2))
+        assert sum(x[1] - x[0] for x in passages.covering([(x[0], x[1], 0, 20, 1) for x in found])) <= 2 * len(words(found, 0)) + 20
+
+
 def test_stored_tables_may_free_their_shuffles(spark, tmp_path):
     folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     shuffles = lambda: {x for x in folder.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
