@@ -347,6 +347,67 @@ def test_passages_of_texts_that_repeat_a_pair_of_words_are_few(spark):
     assert all(covered[i].issuperset(range(20, 20 + 200)) for i in range(1, 13))
 
 
+def test_passages_whose_pieces_smaller_texts_have(spark):
+    for copies in (1, 3, 40):  # so many smaller texts have each piece: few and many partners of a seed
+        shared = prose(7, 80, 10**6).split(" ")
+        pieces = [" ".join(shared[a:b]) for a, b in ((0, 44), (20, 64), (36, 80))]
+        rows = [(i, f"{prose(i + 10, 50, 10**6)} {pieces[i % 3]} {prose(i + 500, 50, 10**6)}") for i in range(3 * copies)]
+        rows += [(900 + i, f"{prose(i + 2000, 30, 10**6)} {' '.join(shared)} {prose(i + 3000, 30, 10**6)}") for i in range(2)]
+        got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+        spans = [(r["doc_id"], r["start"], r["end"], r["of_doc_id"], r["of_start"], r["of_end"]) for r in got]
+        assert any(r[0] == 901 and r[3] == 900 and r[1] <= 30 and r[2] >= 110 for r in spans), (copies, spans)
+
+
+def test_passages_of_frequent_lines_are_covered(spark):
+    rng, lines_ = random.Random(11), [prose(20 + i, 14 + i % 9, 10**6).split(" ") for i in range(12)]
+    words = {i: [w for _ in range(8) for w in rng.choice(lines_)] + [f"u{i}x{j}" for j in range(5)] for i in range(120)}
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "doc_id long, text string").repartition(3)
+    found: dict[int, set] = {i: set() for i in words}
+    for r in passages.repeated_passages(table).collect():
+        found[r["doc_id"]].update(range(r["start"], r["end"]))
+        found[r["of_doc_id"]].update(range(r["of_start"], r["of_end"]))
+    holders: dict[tuple, set] = {}
+    size = passages.MIN_WORDS
+    for i, w in words.items():
+        for j in range(len(w) - size + 1):
+            holders.setdefault(tuple(w[j : j + size]), set()).add(i)
+    for i, w in words.items():
+        for j in range(len(w) - size + 1):
+            if len(holders[tuple(w[j : j + size])]) > 1:
+                assert found[i].issuperset(range(j, j + size)), (i, j)
+
+
+def test_fuzzy_passages_of_phrases_that_many_texts_have(spark):
+    phrases = [prose(40 + i, 9, 10**6) for i in range(6)]
+    rows = [(i, f"{prose(i + 100, 60, 10**6)} {phrases[i % 6]} {prose(i + 900, 60, 10**6)}") for i in range(6 * 20)]
+    rows += [(900 + i, f"{prose(i + 5000, 30, 10**6)} {' '.join(f'{x} v{i}x{j}' for j, x in enumerate(phrases))} end") for i in range(2)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert [(r["doc_id"], r["of_doc_id"], r["start"], r["end"]) for r in got] == [(901, 900, 30, 89)]
+
+
+def test_grams_of_few_places_are_matched_with_each_other():
+    def found(texts: list[int]) -> set:
+        places = np.zeros(len(texts), dtype=passages._places(1))
+        places["text"], places["at"][:, 0] = texts, np.arange(len(texts))
+        held: list[np.ndarray] = []
+        batches = list(passages._matched(places, np.ones(len(texts), np.int32), held, True, False))
+        packs = b"".join(r["pack"] for b in passages._packed(held, "text", 4) for r in b.to_pylist())
+        assert len(np.frombuffer(packs, dtype=passages._places(1))) == (len(texts) if len(texts) > passages.FEW else 0)
+        return {(r["text"], r["at"], r["other"], r["place"]) for b in batches for r in b.to_pylist()}
+
+    assert found([7, 7, 7]) == found([]) == set()
+    assert found([1, 1, 2, 3]) == {(2, 2, 1, 0), (2, 2, 1, 1), (3, 3, 1, 0), (3, 3, 1, 1), (3, 3, 2, 2)}
+    many = found([1, 1, *range(2, 40)])
+    assert many == {(i, i, 1, 0) for i in range(2, 40)} | {(1, 0, 39, 39), (1, 1, 39, 39)}
+
+
+def test_matches_in_a_row_are_one_run():
+    columns = np.array([[5, 1, 10, 30, 1, 0], [5, 1, 11, 31, 7, 0], [5, 1, 18, 38, 1, 0], [5, 1, 40, 60, 1, 0], [5, 1, 41, 70, 1, 1], [5, 2, 3, 3, 1, 0]]).T
+    key, other, at, place, run = (x.astype(np.int64) for x in columns[:5])
+    got = [tuple(map(int, r)) for r in zip(*passages.runs_of(key, other, at, place, run, columns[5] == 1))]
+    assert got == [(5, 1, 10, 30, 9, 0), (5, 1, 40, 60, 1, 1), (5, 1, 41, 70, 1, 0), (5, 2, 3, 3, 1, 0)]
+
+
 def test_covering_passages_cover_what_all_cover():
     rng = random.Random(6)
     for _ in range(300):
